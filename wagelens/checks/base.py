@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wagelens import rules
 from wagelens.functions import text
 from wagelens.operators import clean, skills
+from wagelens.operators.layout import spread
 from wagelens.plans import fixtures
 from wagelens.session import scratch_path
 from wagelens.sources import tables
@@ -44,10 +45,14 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFra
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        _STAGED[key] = tables.write_table(build(spark, sf_dir), scratch_path(spark, name))
+        _STAGED[key] = tables.write_table(spread(build(spark, sf_dir)), scratch_path(spark, name))
     return spark.read.parquet(_STAGED[key])
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "postings", fixtures.postings)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
 from wagelens import rules
-from wagelens.checks.base import check, cleaned, lit, postings, skilled, sql, sql_in, staged, table
+from wagelens.checks.base import check, cleaned, lit, postings, skilled, sql, sql_in, staged, table, text_table
 from wagelens.operators import clean, dedup, stats
 from wagelens.plans import fixtures
 from wagelens.session import scratch_path
@@ -241,7 +241,7 @@ _LI = r"regexp_extract_all(html, '(?s)<li>.*?</li>')"
     f"unnest(range(1, len({_LI}) + 1)) AS i FROM pages)",
 )
 def _(spark, sf):
-    return html.split_cards(table(spark, sf, "pages").select("page_id", "html"), "html", LINKS)
+    return html.split_cards(text_table(spark, sf, "pages", "page_id", "html"), "html", LINKS)
 
 
 def remote_pages(spark, sf):
@@ -291,7 +291,7 @@ _TEXT = _UNESCAPE.format("regexp_replace(regexp_extract({0}, '(?s)<a\\b[^>]*>(.*
     f"unnest(range(1, len({_LI}) + 1)) AS i FROM pages)",
 )
 def _(spark, sf):
-    found = html.extract_cards(table(spark, sf, "pages").select("page_id", "html"), "html", LINKS)
+    found = html.extract_cards(text_table(spark, sf, "pages", "page_id", "html"), "html", LINKS)
     return found.select("page_id", "card_no", "title", "url")
 
 
@@ -323,7 +323,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     layout = html.BoardLayout(sentinel="", card_pattern=LINKS.card_pattern, cards_per_page=rules.CARDS_PER_PREVIEW)
-    return html.split_cards(table(spark, sf, "pages").select("page_id", "html"), "html", layout)
+    return html.split_cards(text_table(spark, sf, "pages", "page_id", "html"), "html", layout)
 
 
 @check("X6_search_term_of_card", sql("SELECT page_id, card_no, search_term, category FROM v_cards JOIN v_terms USING (search_term)", _CARDS, _TERM_CTE))
@@ -347,7 +347,7 @@ _A = r"regexp_extract_all(html, '(?s)(?:<li\b[^>]*>\s*)?<a\b[^>]*>.*?</a>')"
     f"trim({_TEXT.format('l[i]')}) AS text FROM (SELECT page_id, {_A} AS l, unnest(range(1, len({_A}) + 1)) AS i FROM pages)",
 )
 def _(spark, sf):
-    links = html.page_links(table(spark, sf, "pages").select("page_id", "html"), "page_id", "html")
+    links = html.page_links(text_table(spark, sf, "pages", "page_id", "html"), "page_id", "html")
     return links.select("page_id", "link_no", "href", "text")
 
 

@@ -98,7 +98,7 @@ v_us_done AS (
   FROM v_us LEFT JOIN (SELECT standardized_title, median(annual_salary) AS m FROM v_fit GROUP BY 1) USING (standardized_title), v_bounds)"""
 
 
-@check("U3_us_table", sql("SELECT posting_id, split, salary_origin, annual_salary FROM v_us_done", _US))
+@check("us_table", sql("SELECT posting_id, split, salary_origin, annual_salary FROM v_us_done", _US))
 def _(spark, sf):
     us = market.us_table(skilled(spark, sf))
     return rounded(us.select("posting_id", "split", "salary_origin", "annual_salary"), ["annual_salary"])
@@ -107,7 +107,7 @@ def _(spark, sf):
 _US_ALL = _US.replace("WHERE split = 'train'", "").replace("split = 'test' AND annual_salary IS NOT NULL", "false")
 
 
-@check("U3_us_table_reference", sql("SELECT posting_id, annual_salary FROM v_us_done", _US_ALL))
+@check("us_table_reference", sql("SELECT posting_id, annual_salary FROM v_us_done", _US_ALL))
 def _(spark, sf):
     us = market.us_table(skilled(spark, sf), fit_on_train=False)
     return rounded(us.select("posting_id", "annual_salary"), ["annual_salary"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wagelens import rules
-from wagelens.checks.base import check, cleaned, lit, skilled, skilled_from_text, sql, sql_list, sql_skills, table
+from wagelens.checks.base import check, cleaned, lit, skilled, skilled_from_text, sql, sql_list, sql_skills, text_table
 from wagelens.operators import skills, stats
 
 
@@ -26,7 +26,7 @@ def _(spark, sf):
     f"SELECT doc_id, array_to_string({sql_skills('t')}, ',') AS skills FROM (SELECT doc_id, lower(text) AS t FROM documents)",
 )
 def _(spark, sf):
-    df = skills.with_skills(table(spark, sf, "documents"), "text", fallback=False)
+    df = skills.with_skills(text_table(spark, sf, "documents", "doc_id", "text"), "text", fallback=False)
     return df.select("doc_id", joined())
 
 
@@ -39,7 +39,7 @@ WORDS = ["the", "and", "la", "der", "rest", "ai", "of the", "les", "und", "que",
     f"SELECT doc_id, array_to_string({sql_skills('t', WORDS)}, ',') AS skills FROM (SELECT doc_id, lower(text) AS t FROM documents)",
 )
 def _(spark, sf):
-    df = skills.with_skills(table(spark, sf, "documents"), "text", vocabulary=WORDS, fallback=False)
+    df = skills.with_skills(text_table(spark, sf, "documents", "doc_id", "text"), "text", vocabulary=WORDS, fallback=False)
     return df.select("doc_id", joined())
 
 
