@@ -39,3 +39,13 @@ def test_append_reads_each_file_once(spark, tmp_path):
     for _ in range(2):
         feeds.append_feed(feeds.read_feed(spark, source, spark.range(1).schema), out, state).awaitTermination()
     assert spark.read.parquet(out).count() == 5
+
+
+def test_a_hot_key_is_thinned_before_the_shuffle(spark):
+    rows = [("hot", DAY + timedelta(minutes=i)) for i in range(500)] + [(f"k{i}", DAY) for i in range(20)]
+    rows += [(None, DAY), (None, DAY), ("hot", None)]
+    df = spark.createDataFrame(rows, "id string, t timestamp").coalesce(1)
+    got = [(r["id"], r["t"]) for r in feeds.thin_repeats(df, "id", "t").collect()]
+    hot = sorted(t for k, t in got if k == "hot" and t is not None)
+    assert hot == [DAY, DAY + timedelta(minutes=499)]
+    assert sum(k is None for k, _ in got) == 1 and len({k for k, _ in got}) == 22

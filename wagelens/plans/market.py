@@ -46,28 +46,34 @@ def prepare(
     return df
 
 
-def model_tables(df: DataFrame, settings: models.Settings, key: str = "url", seq: str = "seq") -> tuple[str, dict[str, DataFrame]]:
-    """Fit, choose on held-out folds, score the test rows once, explain."""
+def model_tables(
+    df: DataFrame, settings: models.Settings, work_dir: str, key: str = "url"
+) -> tuple[str, dict[str, DataFrame]]:
+    """Fit, choose on held-out folds, score the test rows once, explain.
+
+    Training rows and predictions are written tables, so each model runs over
+    the rows once however many results are made from it.
+    """
     spark = df.sparkSession
-    rows = models.training_rows(df, key, settings)
+    rows_path = tables.write_table(models.training_rows(df, key, settings), f"{work_dir}/training_rows")
+    rows = spark.read.parquet(rows_path)
     skill_list = skills.observed_list(df)
-    choice = models.better_model(
-        regress.regression_metrics(models.fold_scores(rows, skill_list, settings)), "held_out"
-    )
+    held = tables.write_table(models.fold_scores(rows, skill_list, settings), f"{work_dir}/held_out")
+    choice = models.better_model(regress.regression_metrics(spark.read.parquet(held)), "held_out")
     fitted = {m.name: m for m in models.fit_both(rows.where("split = 'train'"), skill_list, settings)}
     scores = models.baseline_scores(rows)
     for m in fitted.values():
         scores = scores.unionByName(models.scored(m, rows))
-    best = models.scored(fitted[choice], rows).where("split = 'test'")
+    scores = spark.read.parquet(tables.write_table(scores, f"{work_dir}/predictions"))
+    best = scores.where((F.col("model") == choice) & (F.col("split") == "test"))
     weights = models.importance_table(spark, fitted[choice])
-    out = {
+    return choice, {
         "model_metrics": regress.regression_metrics(scores),
         "feature_importance": weights,
         "top_features": report.bars(weights, report.FEATURES_IN_BARS),
         "predicted_against_actual": sampling.random_rows(best, "model_key", report.SAMPLE, settings.seed),
         "residuals": regress.residuals(best).select("model_key", "yhat", "residual"),
     }
-    return choice, out
 
 
 def analyse(
@@ -91,7 +97,7 @@ def analyse(
     results = report.report_tables(df) | report.chart_tables(df)
     enough = df.where(F.col("salary_origin") == "observed").limit(rules.MIN_ROLE_ROWS).count() >= rules.MIN_ROLE_ROWS
     if enough:
-        run.best_model, tables_of_models = model_tables(df, settings, "model_key")
+        run.best_model, tables_of_models = model_tables(df, settings, root, "model_key")
         by_role = models.skill_importance_by_role(df, "model_key", "seq", settings)
         results |= tables_of_models
         results["skill_importance_by_role"] = by_role
@@ -133,7 +139,7 @@ def analyse_us(
     run = Run(path)
     results = {f"us_{k}": v for k, v in (report.report_tables(us) | report.chart_tables(us)).items()}
     results["us_skill_correlation"] = stats.skill_correlation(us, skills.observed_list(us))
-    run.best_model, tables_of_models = model_tables(us, settings, "model_key")
+    run.best_model, tables_of_models = model_tables(us, settings, f"{root}/us", "model_key")
     results |= {f"us_{k}": v for k, v in tables_of_models.items()}
     run.results = tables.write_results(results, f"{root}/us_results")
     return run

@@ -67,9 +67,11 @@ def append_rows(df: DataFrame, path: str) -> str:
 
 
 def write_results(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write each result table to its own folder; the results are small reports."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{directory.rstrip('/')}/{name}"
-        df.coalesce(1).write.mode("overwrite").format(fmt).save(paths[name])
-    return paths
+    """Write each result table to its own folder.
+
+    Reports are a few rows, but residuals are as many as test rows, so nothing
+    is forced into one file; adaptive execution merges small partitions.
+    """
+    return {
+        name: write_table(df, f"{directory.rstrip('/')}/{name}", fmt=fmt) for name, df in tables.items()
+    }
