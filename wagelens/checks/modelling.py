@@ -210,9 +210,14 @@ def _(spark, sf):
     return models.importance_table(spark, best(spark, sf)).where("rank <= 20")
 
 
+def role_importances(spark, sf):
+    settings = models.Settings(forest_trees=20, forest_depth=6)
+    return kept(spark, sf, "by_role", lambda: models.skill_importance_by_role(skilled(spark, sf), "url", "seq", settings))
+
+
 @check("M11_skill_importance_by_role")
 def _(spark, sf):
-    return models.skill_importance_by_role(skilled(spark, sf), "url", "seq", models.Settings(forest_trees=20, forest_depth=6))
+    return role_importances(spark, sf)
 
 
 @check("M12_predictions")

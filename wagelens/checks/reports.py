@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wagelens import rules
 from wagelens.checks.base import SPLIT_SQL, check, skilled, sql, sql_in, sql_mean
-from wagelens.checks.modelling import LIGHT, best, kept, rows_for
+from wagelens.checks.modelling import best, role_importances
 from wagelens.checks.stats import box_sql, describe_rounded, describe_sql, histogram_sql, rounded, top_mean_sql
 from wagelens.checks.inputs import remote_pages
 from wagelens.operators import models
@@ -52,27 +52,27 @@ for _name, _by in (("R6_top_paying_titles", TITLE), ("R6_top_paying_locations",
     @check(_name, sql(top_mean_sql(_by)))
     def _(spark, sf, by=_by):
         key = "top_paying_titles" if by == TITLE else "top_paying_locations"
-        return report.report_tables(skilled(spark, sf))[key]
+        return report.REPORTS[key](skilled(spark, sf))
 
 
 @check("R7_box_chart", sql(box_sql(TITLE)))
 def _(spark, sf):
-    return rounded(report.chart_tables(skilled(spark, sf))["box_by_title"], ["q1", "median", "q3"])
+    return rounded(report.CHARTS["box_by_title"](skilled(spark, sf)), ["q1", "median", "q3"])
 
 
 @check("R7_histogram_chart", sql(histogram_sql("v_clean", "annual_salary")))
 def _(spark, sf):
-    return rounded(report.chart_tables(skilled(spark, sf))["salary_histogram"], ["bin_low", "bin_high"])
+    return rounded(report.CHARTS["salary_histogram"](skilled(spark, sf)), ["bin_low", "bin_high"])
 
 
 @check("R7_salary_map", sql(f"SELECT {PLACE}, {sql_mean('annual_salary')} AS mean_value, count(annual_salary) AS n FROM v_clean WHERE annual_salary IS NOT NULL GROUP BY 1"))
 def _(spark, sf):
-    return report.chart_tables(skilled(spark, sf))["salary_map"]
+    return report.CHARTS["salary_map"](skilled(spark, sf))
 
 
 @check("R7_skill_cloud", sql("SELECT skill, count(*) AS n FROM (SELECT unnest(string_split(skill, ' ')) AS skill FROM (SELECT unnest(skills) AS skill FROM v_skills)) GROUP BY 1"))
 def _(spark, sf):
-    return report.chart_tables(skilled(spark, sf))["skill_cloud"]
+    return report.CHARTS["skill_cloud"](skilled(spark, sf))
 
 
 @check("R7_importance_bars")
@@ -82,8 +82,7 @@ def _(spark, sf):
 
 @check("R7_importance_matrix")
 def _(spark, sf):
-    settings = models.Settings(forest_trees=LIGHT.forest_trees, forest_depth=6)
-    by_role = kept(spark, sf, "by_role", lambda: models.skill_importance_by_role(skilled(spark, sf), "url", "seq", settings))
+    by_role = role_importances(spark, sf)
     return report.importance_heatmap(by_role)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,30 +28,36 @@ def summary(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*items)))
 
 
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "summary": summary,
+    "top_titles": lambda df: stats.frequency(df, TITLE, 10),
+    "top_locations": lambda df: stats.frequency(df, PLACE, 10),
+    "salary_statistics": lambda df: stats.describe(df, PAY),
+    "top_paying_titles": lambda df: stats.top_by_mean(df, TITLE),
+    "top_paying_locations": lambda df: stats.top_by_mean(df, PLACE),
+}
+
+# the numbers behind the charts that need no model
+CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "box_by_title": lambda df: stats.box_stats(df, TITLE),
+    "box_by_location": lambda df: stats.box_stats(df, PLACE),
+    "salary_histogram": lambda df: stats.histogram(df, PAY),
+    "salary_density": lambda df: stats.density(df, PAY),
+    "salary_map": lambda df: stats.group_mean(df, PLACE),
+    "skill_cloud": lambda df: skills.skill_frequency(df, words=True),
+    "skill_demand_by_title": lambda df: skills.skill_demand(df, TITLE),
+    "skill_demand_by_location": lambda df: skills.skill_demand(df, PLACE),
+}
+
+
 def report_tables(df: DataFrame) -> dict[str, DataFrame]:
     """The report of one cleaned table."""
-    return {
-        "summary": summary(df),
-        "top_titles": stats.frequency(df, TITLE, 10),
-        "top_locations": stats.frequency(df, PLACE, 10),
-        "salary_statistics": stats.describe(df, PAY),
-        "top_paying_titles": stats.top_by_mean(df, TITLE),
-        "top_paying_locations": stats.top_by_mean(df, PLACE),
-    }
+    return {name: make(df) for name, make in REPORTS.items()}
 
 
 def chart_tables(df: DataFrame) -> dict[str, DataFrame]:
-    """The numbers behind the charts that need no model."""
-    return {
-        "box_by_title": stats.box_stats(df, TITLE),
-        "box_by_location": stats.box_stats(df, PLACE),
-        "salary_histogram": stats.histogram(df, PAY),
-        "salary_density": stats.density(df, PAY),
-        "salary_map": stats.group_mean(df, PLACE),
-        "skill_cloud": skills.skill_frequency(df, words=True),
-        "skill_demand_by_title": skills.skill_demand(df, TITLE),
-        "skill_demand_by_location": skills.skill_demand(df, PLACE),
-    }
+    """The chart tables of one cleaned table with skills."""
+    return {name: make(df) for name, make in CHARTS.items()}
 
 
 def importance_heatmap(importances: DataFrame, top: int = 20) -> DataFrame:
