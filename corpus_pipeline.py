@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import bpe, language_id, mixing, simhash
+from wagelens.llm import bpe, language_id, line_dedup, mixing, simhash
 from wagelens.llm.staging import stage
 
 #: least share of a text's letters that its language must have
@@ -17,6 +17,11 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_identified(docs, LEAST_LANGUAGE_SHARE)
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without later repeats of passages of whole lines."""
+    return line_dedup.dedup_lines(docs)
+
+
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.keep_one(docs, shingle_words=4, distance=4)
@@ -34,6 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", identified),
+    ("line_dedup", without_repeated_lines),
     ("simhash_near_dedup", without_near_duplicates),
     ("mixing", mixed),
     ("bpe", encoded),

@@ -64,6 +64,57 @@ FROM rows_ p LEFT JOIN own o ON o.host = p.host AND o.path = p.path
 LEFT JOIN blocked b ON p.given AND b.node = p.host || p.path || p.query
 """
 
+OP8 = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT *, row_number() OVER w AS place,
+         list({'role': role, 'text': text}) OVER (w ROWS UNBOUNDED PRECEDING) AS prefix,
+         lead(conv_id) OVER w IS NULL AS last
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+whole AS (
+  SELECT min(conv_id) AS conv_id, place, prefix, count(*) AS copies FROM placed WHERE last GROUP BY place, prefix),
+kept AS (
+  SELECT * FROM whole w WHERE NOT EXISTS (
+    SELECT 1 FROM placed p WHERE NOT p.last AND p.place = w.place AND p.prefix = w.prefix))
+SELECT k.conv_id, k.place::INTEGER AS n_turns, k.copies,
+       string_agg('<|im_start|>' || replace(t.role, '<|', '< |') || chr(10) || replace(t.text, '<|', '< |')
+                  || '<|im_end|>' || chr(10), '' ORDER BY t.place) AS text
+FROM kept k JOIN placed t ON t.conv_id = k.conv_id GROUP BY k.conv_id, k.place, k.copies
+"""
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"
+
+OP9 = f"""
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, x -> floor(64 * x::DOUBLE))) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE} GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+"""
+
+OP10 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, least(a, min(b)) AS name FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(name, vec_id) AS component_id,
+       vec_id = coalesce(name, vec_id) AS kept
+FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least l ON l.a = vec_id
+"""
+
 SQL: dict[str, str] = {
     "op1_url_filter": OP1,
+    "op8_chat_format": OP8,
+    "op9_top_k": OP9,
+    "op10_metric_join": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagelens.llm import bpe, language_id, mixing, oracles, simhash, url_filters
+from wagelens.llm import bpe, chat, language_id, line_dedup, metric_join, mixing, oracles, sanitise, simhash, topk, url_filters
 
 RULES = (
     url_filters.Rule("allow", "org", "/"),
@@ -26,6 +26,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(_table(spark, sf_dir, "pages"), RULES)
 
 
+def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sanitise.find_spans(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", sanitise.listed(F.col("found")).alias("spans"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, decisions = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.decided(rows, decisions).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -45,13 +50,34 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(_table(spark, sf_dir, "documents"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_every(_table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
+
+
+def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_sanitise": op2_sanitise,
         "op3_mixing": op3_mixing,
         "op4_language_id": op4_language_id,
         "op5_simhash": op5_simhash,
         "op6_bpe": op6_bpe,
+        "op7_line_dedup": op7_line_dedup,
+        "op8_chat_format": op8_chat_format,
+        "op9_top_k": op9_top_k,
+        "op10_metric_join": op10_metric_join,
     }
 
 
