@@ -13,7 +13,7 @@ LEAST_LANGUAGE_SHARE = 0.25
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; without letters, or with hardly any of its words told apart, they go."""
+    """Documents in a learned language; without letters, or with no language for a quarter of them, they go."""
     return language_id.keep_identified(docs, LEAST_LANGUAGE_SHARE)
 
 

@@ -127,9 +127,10 @@ class _Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((1024, len(model.languages)), np.float32)
+        self.table = np.zeros((1024, len(model.languages) + 1), np.float32)
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores by word and language; whether any language writes the word's script."""
         if len(self.rows) > WORDS_KEPT:
             self.rows = {}
         rows = self.rows
@@ -137,17 +138,18 @@ class _Scorer:
             at = rows[word] = len(rows)
             if at == len(self.table):
                 self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-            self.table[at] = self.score(word)
-        return self.table[np.fromiter(map(rows.__getitem__, words), np.int64, len(words))]
+            self.table[at, :-1], self.table[at, -1] = self.score(word)
+        found = self.table[np.fromiter(map(rows.__getitem__, words), np.int64, len(words))]
+        return found[:, :-1], found[:, -1] > 0
 
-    def score(self, word: str) -> np.ndarray:
+    def score(self, word: str) -> tuple[np.ndarray, bool]:
         *grams, script = features(word)
         able = self.model.writes[script - FEATURES]
         if not able.any():
-            return np.zeros(len(able))
+            return np.zeros(len(able)), False
         total = self.model.weights[grams].sum(axis=0)
         total = np.maximum(total - total[able].max(), -WORD_LIMIT)
-        return np.where(able, total, -OTHER_SCRIPT)
+        return np.where(able, total, -OTHER_SCRIPT), True
 
 
 def _spans(text: str, words: list[str], path: np.ndarray, languages: tuple[str, ...]) -> list[dict]:
@@ -180,9 +182,8 @@ def label(texts: list[str | None], scorer: _Scorer) -> list[tuple[str, float, li
         ends = np.cumsum([len(ws) for ws in words])
         first = np.zeros(len(flat), bool)
         first[[int(e) - len(ws) for ws, e in zip(words, ends) if ws]] = True
-        scores = scorer.of(flat)
+        scores, known = scorer.of(flat)
         path = best_path(scores, first, SWITCH_PENALTY)
-        told = scores.any(axis=1)
         for text, ws, end in zip(texts[at : at + len(words)], words, ends.tolist()):
             if not ws:
                 out.append((UNKNOWN, 0.0, []))
@@ -190,7 +191,7 @@ def label(texts: list[str | None], scorer: _Scorer) -> list[tuple[str, float, li
             own = slice(end - len(ws), end)
             letters = np.bincount(path[own], weights=sizes[own], minlength=len(languages))
             most = int(letters.argmax())
-            sure = sizes[own][told[own] & (path[own] == most)].sum()
+            sure = sizes[own][known[own] & (path[own] == most)].sum()
             out.append((languages[most], float(sure / sizes[own].sum()), _spans(text, ws, path[own], languages)))
         at += len(words)
     return out
@@ -211,11 +212,11 @@ def identify(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Dat
     """(doc_id, held_out, lang_pred, score, spans): one row per row of ``docs``.
 
     ``spans`` are code points [start, end) with a language each; ``score`` is the
-    share of letters in words that were told apart and labelled ``lang_pred``.
+    share of letters in words of a learned script that are labelled ``lang_pred``.
 
     Null text and text without a letter are ``und`` with score 0 and no spans.  Words
     in a script that no learned language writes take the label of their surroundings
-    and count as not told apart (with ties, the language with most labelled documents).
+    and add nothing to the score (with ties, the language with most labelled documents).
     If nothing is labelled, every text is ``und``.  ``held_out`` of a null doc_id is
     false.  Repeated rows are labelled alike; an empty table gives no rows; only
     doc_id, text and lang are read.

@@ -84,11 +84,11 @@ SELECT k.conv_id, k.place::INTEGER AS n_turns, k.copies,
 FROM kept k JOIN placed t ON t.conv_id = k.conv_id GROUP BY k.conv_id, k.place, k.copies
 """
 
-_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 OP9 = f"""
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> floor(64 * x::DOUBLE))) AS e
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS e
   FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE} GROUP BY vec_id),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
@@ -100,7 +100,7 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <=
 OP10 = f"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
