@@ -64,6 +64,79 @@ FROM rows_ p LEFT JOIN own o ON o.host = p.host AND o.path = p.path
 LEFT JOIN blocked b ON p.given AND b.node = p.host || p.path || p.query
 """
 
+_BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+
+OP7 = f"""
+WITH raw AS (
+  SELECT doc_id, i - 1 AS num, txt FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS txt,
+           unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+    FROM documents WHERE text IS NOT NULL)),
+lines AS (
+  SELECT doc_id, num, trim(txt, {_BLANK}) AS bare, words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY num) - 1 AS pos,
+         sum(words) OVER (PARTITION BY doc_id ORDER BY num)::BIGINT AS total
+  FROM (SELECT *, len(regexp_extract_all(txt, '[^\\x20\\x09-\\x0D]+')) AS words FROM raw) WHERE words > 0),
+ends AS (
+  SELECT a.doc_id, a.pos AS lo, min(b.pos) + 1 AS hi FROM lines a
+  JOIN lines b ON b.doc_id = a.doc_id AND b.pos >= a.pos AND b.pos < a.pos + 50 AND b.total - a.total + a.words >= 50
+  GROUP BY ALL),
+windows AS (
+  SELECT e.doc_id, lo, hi, string_agg(bare, chr(10) ORDER BY pos) AS content
+  FROM ends e JOIN lines l ON l.doc_id = e.doc_id AND l.pos >= lo AND l.pos < hi GROUP BY ALL),
+firsts AS (SELECT content, min(struct_pack(d := doc_id, p := lo)) AS f FROM windows GROUP BY content),
+matches AS (
+  SELECT doc_id, lo, hi, f.d AS src, lo - f.p AS shift FROM windows JOIN firsts USING (content)
+  WHERE NOT (doc_id = f.d AND lo = f.p)),
+begun AS (
+  SELECT *, coalesce(lo > max(hi) OVER (PARTITION BY doc_id, src, shift ORDER BY lo, hi
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)::INT AS b FROM matches),
+runs AS (
+  SELECT doc_id, src, shift, min(lo) AS lo, max(hi) AS hi FROM (
+    SELECT *, sum(b) OVER (PARTITION BY doc_id, src, shift ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS island FROM begun)
+  GROUP BY doc_id, src, shift, island),
+steps AS (
+  SELECT r.*, k FROM runs r, range(1, 52) t(k)),
+grown AS (
+  SELECT s.doc_id, s.src, s.shift, s.lo, s.hi,
+         least(50, min(k) FILTER (WHERE x.bare IS NULL OR y.bare IS NULL OR x.bare <> y.bare) - 1) AS onward,
+         least(50, min(k) FILTER (WHERE u.bare IS NULL OR v.bare IS NULL OR u.bare <> v.bare) - 1) AS back
+  FROM steps s
+  LEFT JOIN lines x ON x.doc_id = s.doc_id AND x.pos = s.hi + k - 1
+  LEFT JOIN lines y ON y.doc_id = s.src AND y.pos = s.hi - s.shift + k - 1
+  LEFT JOIN lines u ON u.doc_id = s.doc_id AND u.pos = s.lo - k
+  LEFT JOIN lines v ON v.doc_id = s.src AND v.pos = s.lo - s.shift - k
+  GROUP BY ALL),
+cut AS (
+  SELECT doc_id,
+         CASE WHEN doc_id = src AND lo < hi - shift THEN hi - shift
+              WHEN doc_id = src THEN greatest(lo - coalesce(back, 50), hi - shift + coalesce(onward, 50))
+              ELSE lo - coalesce(back, 50) END AS lo,
+         CASE WHEN doc_id = src AND lo < hi - shift THEN hi ELSE hi + coalesce(onward, 50) END AS hi
+  FROM grown),
+spans AS (
+  SELECT c.doc_id, a.num AS lo, b.num + 1 AS hi FROM cut c
+  JOIN lines a ON a.doc_id = c.doc_id AND a.pos = c.lo JOIN lines b ON b.doc_id = c.doc_id AND b.pos = c.hi - 1
+  WHERE c.lo < c.hi),
+joined AS (
+  SELECT *, coalesce(lo > max(hi) OVER (PARTITION BY doc_id ORDER BY lo, hi
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)::INT AS b FROM spans),
+gone AS (
+  SELECT doc_id, min(lo) AS lo, max(hi) AS hi FROM (
+    SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS island FROM joined)
+  GROUP BY doc_id, island),
+listed AS (
+  SELECT doc_id, sum(hi - lo)::INT AS n_removed, string_agg(lo || ':' || hi, ',' ORDER BY lo) AS removed
+  FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT r.doc_id, string_agg(txt, chr(10) ORDER BY num) AS text FROM raw r
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = r.doc_id AND r.num >= g.lo AND r.num < g.hi) GROUP BY r.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END::INT AS n_lines,
+       coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS text_sha256
+FROM documents d LEFT JOIN listed l USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 OP8 = """
 WITH turns AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
@@ -114,6 +187,7 @@ FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least l ON l.a = ve
 
 SQL: dict[str, str] = {
     "op1_url_filter": OP1,
+    "op7_line_dedup": OP7,
     "op8_chat_format": OP8,
     "op9_top_k": OP9,
     "op10_metric_join": OP10,
