@@ -38,10 +38,24 @@ def test_best_path(n):
         assert value(scores, first, penalty, path) == pytest.approx(plain_best(scores, first, penalty))
 
 
+def scripts(chars):
+    return language_id.scripts_of(np.array([ord(c) for c in chars])).tolist()
+
+
 def test_script_ranges():
-    assert len({language_id.script_of(c) for c in "aéḀ"}) == 1 and language_id.script_of("a") > 0
-    assert len({language_id.script_of(c) for c in "aαжאعक中かก한"}) == 10
-    assert language_id.script_of("1") == 0 and language_id.script_of("\U0001f600") == 0
+    assert len(set(scripts("aéḀ"))) == 1 and scripts("a") > [0]
+    assert len(set(scripts("aαжאعक中かก한"))) == 10
+    assert scripts("1\U0001f600") == [0, 0]
+
+
+def test_features_do_not_depend_on_neighbours():
+    words = ["the", "THE", "a", "ñandú", "the", "ж"]
+    found, starts, script = language_id.features(words)
+    parts = [x.tolist() for x in np.split(found, starts[1:])]
+    assert parts[0] == parts[1] == parts[4] and script[0] == script[3] != script[5]
+    for word, part in zip(words, parts):
+        alone, _, _ = language_id.features([word])
+        assert alone.tolist() == part and len(part) == 2 * (len(word) + 2) and part.count(language_id.FEATURES) == 2
 
 
 @pytest.fixture(scope="module")

@@ -11,11 +11,9 @@ else covers all rows.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -47,24 +45,43 @@ SCRIPTS = (
 #: ranges of the same script: Latin, Hangul
 SAME_SCRIPT = {(0x1E00, 0x1EFF): (0x0041, 0x024F), (0xAC00, 0xD7AF): (0x1100, 0x11FF)}
 _ORDER = sorted(SCRIPTS)
-_STARTS = [a for a, _ in _ORDER]
-_NUMBER = {r: i + 1 for i, r in enumerate(_ORDER)}
+_FIRST, _LAST = (np.array([r[i] for r in _ORDER]) for i in (0, 1))
+_NUMBER = np.array([_ORDER.index(SAME_SCRIPT.get(r, r)) + 1 for r in _ORDER])
 
 
-def script_of(char: str) -> int:
-    """Number of the script range that holds the character, 0 if none does."""
-    at = bisect_right(_STARTS, ord(char)) - 1
-    if at < 0 or ord(char) > _ORDER[at][1]:
-        return 0
-    return _NUMBER[SAME_SCRIPT.get(_ORDER[at], _ORDER[at])]
+def scripts_of(points: np.ndarray) -> np.ndarray:
+    """Number of the script range that holds each code point, 0 if none does."""
+    at = np.searchsorted(_FIRST, points, "right") - 1
+    return np.where((at >= 0) & (points <= _LAST[at]), _NUMBER[at], 0)
 
 
-def features(word: str) -> list[int]:
-    """Hashed pairs and triples of letters with the word's ends, and the word; last its script."""
-    marked = f"<{word.lower()}>"
-    grams = [marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)]
-    found = [crc32(g.encode("utf-8", "replace")) % FEATURES for g in (*grams, f"={marked}")]
-    return [*found, FEATURES + script_of(word[0])]
+def _slot(x: np.ndarray) -> np.ndarray:
+    return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(FEATURES)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of many words: (feature, where each word's begin, each word's script).
+
+    Hashed pairs and triples of letters, with marks at the ends, and the whole word,
+    all in lower case.  Triples that would leave the word are FEATURES, which weighs nothing.
+    """
+    lower = [w.lower() for w in words]
+    sizes = np.fromiter(map(len, lower), np.int64, len(lower)) + 2
+    points = np.frombuffer(("<" + "><".join(lower) + ">").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    ends = np.repeat(starts + sizes, sizes)
+    at = np.arange(len(points))
+    one, two = (np.concatenate((points[k:], np.zeros(k, np.uint64))) for k in (1, 2))
+    pair = points * np.uint64(1 << 21) + one
+    triple = (pair * np.uint64(1 << 21) + two) ^ np.uint64(0x5BD1E995)
+    power = (np.uint64(0x100000001B3) ** (at - np.repeat(starts, sizes)).astype(np.uint64)) * points
+    whole = np.add.reduceat(power, starts)
+    # one row per place: its pair, its triple; the place of the last mark has the whole word instead of a pair
+    first = _slot(pair)
+    first[starts + sizes - 1] = _slot(whole)
+    second = np.where(at + 2 < ends, _slot(triple), np.uint64(FEATURES))
+    found = np.stack((first, second), axis=1).reshape(-1).astype(np.int64)
+    return found, 2 * starts, scripts_of(points[starts + 1].astype(np.int64))
 
 
 class Model(NamedTuple):
@@ -101,10 +118,12 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words.setdefault(lang, Counter()).update(WORD.findall(text))
             for lang, counted in words.items():
-                sums = np.zeros(FEATURES + len(SCRIPTS) + 1)
-                for word, n in counted.items():
-                    for f in features(word):
-                        sums[f] += n
+                if not counted:
+                    continue
+                found, starts, script = features(list(counted))
+                n = np.fromiter(counted.values(), np.float64, len(counted))
+                sums = np.bincount(found, np.repeat(n, np.diff(np.append(starts, len(found)))), FEATURES + 1)[:FEATURES]
+                sums = np.append(sums, np.bincount(script, n, len(SCRIPTS) + 1))
                 at = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(sums[at])], ["lang", "feature", "n"]
@@ -117,6 +136,7 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model
     table[sums["feature"].to_numpy(), [number[x] for x in sums["lang"].to_pylist()]] = sums["n"].to_numpy()
     scripts, table = table[FEATURES:], table[:FEATURES]
     weights = np.log(table + 0.5) - np.log(table.sum(axis=0) + 0.5 * FEATURES)
+    weights = np.append(weights, np.zeros((1, len(languages))), axis=0)
     writes = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
     return Model(languages, weights.astype(np.float32), writes)
 
@@ -134,22 +154,25 @@ class _Scorer:
         if len(self.rows) > WORDS_KEPT:
             self.rows = {}
         rows = self.rows
-        for word in set(words).difference(rows):
-            at = rows[word] = len(rows)
-            if at == len(self.table):
-                self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-            self.table[at, :-1], self.table[at, -1] = self.score(word)
+        new = list(set(words).difference(rows))
+        if new:
+            at = len(rows)
+            rows.update(zip(new, range(at, at + len(new))))
+            if len(rows) > len(self.table):
+                self.table = np.concatenate((self.table, np.zeros((2 * len(rows), self.table.shape[1]), np.float32)))
+            self.table[at : at + len(new)] = self.score(new)
         found = self.table[np.fromiter(map(rows.__getitem__, words), np.int64, len(words))]
         return found[:, :-1], found[:, -1] > 0
 
-    def score(self, word: str) -> tuple[np.ndarray, bool]:
-        *grams, script = features(word)
-        able = self.model.writes[script - FEATURES]
-        if not able.any():
-            return np.zeros(len(able)), False
-        total = self.model.weights[grams].sum(axis=0)
-        total = np.maximum(total - total[able].max(), -WORD_LIMIT)
-        return np.where(able, total, -OTHER_SCRIPT), True
+    def score(self, words: list[str]) -> np.ndarray:
+        found, starts, script = features(words)
+        total = np.add.reduceat(self.model.weights[found], starts, axis=0)
+        able = self.model.writes[script]
+        known = able.any(axis=1)
+        best = np.where(able, total, -np.inf).max(axis=1, initial=-np.inf)
+        total = np.maximum(total - np.where(known, best, 0)[:, None], -WORD_LIMIT)
+        total = np.where(able, total, -OTHER_SCRIPT)
+        return np.column_stack((np.where(known[:, None], total, 0), known))
 
 
 def _spans(text: str, words: list[str], path: np.ndarray, languages: tuple[str, ...]) -> list[dict]:
