@@ -51,5 +51,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         later = found.select(F.col("node").alias("to"), F.col("to").alias("end"))
         found = hops.pop().join(later, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
     found = stage(found, "ends")
-    roots = found.groupBy("to").agg(F.min("node").alias("root"))
+    roots = stage(found.groupBy("to").agg(F.min("node").alias("root")), "roots")
     return found.join(roots, "to").select("node", F.least("root", "to").alias("root"))

@@ -85,10 +85,11 @@ def _islands(spans: DataFrame, by: list[str]) -> DataFrame:
 def _matches(windows: DataFrame) -> DataFrame:
     """Windows that are elsewhere first: (doc_id, text_hash, lo, hi, src_id, src_hash, shift)."""
     place = F.struct(*KEY, "start")
+    # the small sides are written, so that the joins are plain shuffles and a frequent key can be split
     shared = windows.groupBy("least").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("not one <=> other")
-    candidates = windows.join(shared.select("least"), "least", "left_semi")
-    firsts = candidates.groupBy("a", "b").agg(F.min(place).alias("first"))
-    later = candidates.join(firsts, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    candidates = windows.join(stage(shared.select("least"), "shared"), "least", "left_semi")
+    firsts = candidates.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("not first <=> end")
+    later = candidates.join(stage(firsts.drop("end"), "firsts"), ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     return later.select(
         *KEY, F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"),
         F.col("first.doc_id").alias("src_id"), F.col("first.text_hash").alias("src_hash"),

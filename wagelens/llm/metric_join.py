@@ -169,7 +169,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     counts = joined.groupBy("uid").agg(F.sum("n_links").alias("n_links"))
     members = distinct.join(counts, "uid").join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left")
     members = members.withColumn("root", F.coalesce("root", "uid"))
-    names = members.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join below is a plain shuffle and a large component can be split
+    names = stage(members.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     named = members.join(names, "root").select("label", "v", (F.col("n_links") + F.col("n") - 1).alias("n_links"), "component_id", F.lit(True).alias("found"))
     out = rows.join(named, ["label", "v"], "left")
     name = F.when(F.col("found"), F.col("component_id")).otherwise(F.col("vec_id"))

@@ -161,7 +161,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, distance: int = 4)
     members = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    names = members.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join below is a plain shuffle and a large component can be split
+    names = stage(members.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     named = members.join(names, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
