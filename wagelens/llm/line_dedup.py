@@ -87,7 +87,7 @@ def _matches(windows: DataFrame) -> DataFrame:
     place = F.struct(*KEY, "start")
     # the small sides are written, so that the joins are plain shuffles and a frequent key can be split
     shared = windows.groupBy("least").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("not one <=> other")
-    candidates = windows.join(stage(shared.select("least"), "shared"), "least", "left_semi")
+    candidates = stage(windows.join(stage(shared.select("least"), "shared"), "least", "left_semi"), "candidates")
     firsts = candidates.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("not first <=> end")
     later = candidates.join(stage(firsts.drop("end"), "firsts"), ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     return later.select(
