@@ -25,7 +25,7 @@ from wagelens.llm.staging import stage
 from wagelens.llm.vectors import matrix, usable, width_of
 
 #: vectors a cell should have at least; pivots in all, which bounds what is broadcast; rows and columns of a tile
-CELL, PIVOTS, TILE, ROWS_AT_ONCE = 4096, 4096, 4096, 512
+CELL, PIVOTS, TILE, ROWS_AT_ONCE = 2048, 4096, 4096, 512
 SLACK = 1e-9
 
 
