@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -211,9 +212,12 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
 
     @F.pandas_udf("string")
-    def mask(text, found):
-        rows = zip(text, found)
-        return text.where(found.isna(), [t if f is None else masked(t, [(x["start"], x["kind"], x["end"], x["action"]) for x in f]) for t, f in rows])
+    def mask(text: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if f is None else masked(t, [(x["start"], x["kind"], x["end"], x["action"]) for x in f]) for t, f in zip(text, found)
+        ])
 
     joined = docs.join(spans, same, "left")
-    return joined.select(*(F.when(F.col("_found").isNull(), docs[c]).otherwise(mask(docs[c], F.col("_found"))).alias(c) if c == "text" else docs[c] for c in docs.columns))
+    touched = F.when(F.col("_found").isNotNull(), docs["text"])  # other texts stay out of Python
+    new = F.coalesce(mask(touched, F.col("_found")), docs["text"])
+    return joined.select(*(new.alias(c) if c == "text" else docs[c] for c in docs.columns))
