@@ -182,5 +182,5 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
         docs["doc_id"].eqNullSafe(F.col("_d")) & docs["source"].eqNullSafe(F.col("_s"))
         & (word_count(docs["text"]) == F.col("_z"))
     )
-    taken = docs.join(d.where("_n > 0"), same)
+    taken = docs.join(d.where("_n > 0").hint("merge"), same)  # grows with the documents: never broadcast
     return taken.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_n")).alias("_i")).select(*docs.columns)

@@ -175,6 +175,6 @@ def keep_one(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> Data
     """
     found = near_duplicates(docs, shingle_words, distance).where("doc_id <=> component_id")
     keep = stage(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    ids = keep.select(F.col("doc_id").alias("_kept"))
+    ids = keep.select(F.col("doc_id").alias("_kept")).hint("merge")  # grows with the documents: never broadcast
     kept = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
     return kept if keep.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
