@@ -78,6 +78,7 @@ def corpus():
     rows = [(i, f"the quick fox {i % 7} jumps over lazy dogs every day number") for i in range(60)]
     rows += [(100 + i, f"well the zanzibar office wrote {w} to boss@corp.example about zanzibar today") for i, w in enumerate(["once", "twice", "thrice"])]
     rows += [(200 + i, "copy says krakatoa to lone@corp.example again") for i in range(5)]
+    rows += [(300, "one text says vesuvius to twice@corp.example and vesuvius again to twice@corp.example at once")]
     return rows
 
 
@@ -88,12 +89,16 @@ def test_disclosure_against_counting(spark):
     got = {(r.entity, r.term): (r.disclosure, r.action) for r in sanitise.disclosing_terms(found, 0.3, 0.9).collect()}
     terms, entities, pairs, contexts = Counter(), Counter(), Counter(), {}
     for _, text in rows:
+        least = {}
         terms.update(set(re.findall(r"[^\W\d_]+", text.lower())))
         near = sanitise.contexts(text, base_spans(text))
         entities.update({x["entity"] for x in near})
         pairs.update({(x["entity"], x["term"]) for x in near})
         for x in near:
-            contexts.setdefault((x["entity"], x["term"]), set()).add(x["context"])
+            key = x["entity"], x["term"]
+            least[key] = min(least.get(key, x["context"]), x["context"])
+        for key, context in least.items():
+            contexts.setdefault(key, set()).add(context)
     want = {}
     for (e, t), n in pairs.items():
         value = 1 + math.log(n / terms[t]) / math.log(len(rows) / entities[e])
@@ -108,6 +113,7 @@ def test_texts_are_masked(spark):
     out = {r.doc_id: r for r in sanitise.sanitise(frame(spark, corpus())).collect()}
     assert out[100].text.count("zanzibar") == 0 and "[email]" in out[100].text
     assert "krakatoa" in out[200].text and "lone@corp.example" not in out[200].text  # copies are no evidence
+    assert "vesuvius" in out[300].text  # nor is one document
     assert out[0].text == corpus()[0][1] and out[0].found == "clash"
 
 

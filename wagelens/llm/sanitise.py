@@ -8,8 +8,8 @@ generalised and above a higher one removed.
 
 Document frequencies are counted over all documents, summed in each task before the
 shuffle.  Only documents with identifiers have contexts, a bounded number of words
-around each.  A pair counts as evidence only from different contexts, so copies of a
-document disclose nothing by being many.
+around each.  A pair counts as evidence only from different contexts in different
+documents, so copies of a document disclose nothing by being many.
 """
 
 from __future__ import annotations
@@ -137,7 +137,8 @@ def disclosing_terms(found: DataFrame, generalise: float, remove: float) -> Data
     """(entity, term, disclosure, action) for pairs above the threshold."""
     total = found.where("row is not null").count()
     near = found.where("size(near) > 0").select("row", F.explode("near").alias("n")).select("row", "n.entity", "n.context", "n.term")
-    pairs = near.distinct()
+    # a document speaks for a pair once, with one context of its own
+    pairs = near.groupBy("row", "entity", "term").agg(F.min("context").alias("context"))
     # each pair's documents and different contexts, in two steps that sum before they shuffle
     by_context = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("docs"))
     evidence = by_context.groupBy("entity", "term").agg(F.sum("docs").alias("together"), F.count(F.lit(1)).alias("contexts"))
