@@ -150,10 +150,13 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 
 def _joined(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``docs`` with a column _runs, null where nothing is deleted."""
+    """``docs`` with a column _runs, null where nothing is deleted.
+
+    The runs grow with the documents, so this is a shuffled join at any size.
+    """
     r = runs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("_runs"))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(r, same, "left")
+    return docs.join(r.hint("merge"), same, "left")
 
 
 def _kept(text: Column) -> Column:
