@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and single-machine runs; clusters bring their own."""
@@ -47,3 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let checkpoint() and iterative fits write to the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='wagelens-')}/wagelens", "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
