@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wagelens.llm.staging import stage
+from wagelens.session import ship_package
 
 #: bytes of the rolling hash and bytes of a chunk: least, usual beyond that (both powers of two), most
 WINDOW, LEAST, USUAL, MOST = 16, 256, 1024, 16384
@@ -190,6 +191,7 @@ def shared_chunks(docs: DataFrame) -> DataFrame:
             hashes = [_hash(p) for t in batch.column(0).to_pylist() for p in _pieces(t)]
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary())], ["hash"])
 
+    ship_package(docs.sparkSession)
     found = _bytes_of(docs).select("text").mapInArrow(run, "hash binary")
     return found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
 

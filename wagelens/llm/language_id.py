@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.viterbi import best_path
+from wagelens.session import ship_package
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 4000
@@ -101,6 +102,7 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model
 
     A null doc_id is not held out (its remainder is null): it is left out of training all the same.
     """
+    ship_package(docs.sparkSession)
     given = docs.select("doc_id", "text", "lang").where(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in given.groupBy("lang").count().collect()}  # one row a language
     if not counts:

@@ -23,6 +23,7 @@ from wagelens.llm.components import connected_components
 from wagelens.llm.forest import spanning_forest
 from wagelens.llm.staging import stage
 from wagelens.llm.vectors import matrix, usable, width_of
+from wagelens.session import ship_package
 
 #: vectors a cell should have at least; pivots in all, which bounds what is broadcast; rows and columns of a tile
 CELL, PIVOTS, TILE, ROWS_AT_ONCE = 2048, 4096, 4096, 512
@@ -124,6 +125,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     length are compared as if filled with zeros; an empty table gives no rows; only
     vec_id, embedding and label are read.
     """
+    ship_package(vectors.sparkSession)
     v = F.transform("embedding", lambda x: x.cast("double"))
     able = F.col("label").isNotNull() & usable(F.col("embedding")) & F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(able, F.col("label").cast("long")).alias("label"), F.when(able, v).alias("v"))

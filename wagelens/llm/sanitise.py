@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.personal_data import CARD, EMAIL, KINDS, PHONE, base_spans
 from wagelens.llm.staging import stage
+from wagelens.session import ship_package
 
 TERM = "term"
 #: words and code points on either side of an entity; least letters of a term; least number of different contexts of a pair
@@ -128,6 +129,7 @@ def _found(docs: DataFrame) -> DataFrame:
         if counts:
             yield counted()
 
+    ship_package(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(run, _DDL)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from wagelens.llm.components import connected_components
 from wagelens.llm.forest import spanning_forest
 from wagelens.llm.staging import stage
+from wagelens.session import ship_package
 
 BITS = 64
 SEED = 42
@@ -59,6 +60,7 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
             found = np.array([fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.staging import stage
 from wagelens.llm.vectors import matrix, usable, width_of
+from wagelens.session import ship_package
 
 QUERY_TILE, CANDIDATE_TILE = 1024, 8192
 BLOCKS, QUERIES_AT_ONCE, SEEDS = 4, 64, 1024
@@ -97,6 +98,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     is no candidate of it.  Ties go to the smaller id; fewer candidates than k give
     fewer rows.  Vectors of different length are compared as if filled with zeros.
     """
+    ship_package(vectors.sparkSession)
     vectors, queries = stage(vectors, "candidates"), stage(queries, "queries")
     c_tiles = max(1, math.ceil(vectors.count() / CANDIDATE_TILE))
     q_tiles = max(1, math.ceil(queries.count() / QUERY_TILE))
