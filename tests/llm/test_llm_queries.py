@@ -1,7 +1,10 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import __spark_entry__
 import corpus_pipeline
@@ -101,3 +104,18 @@ def test_each_stage_against_plain_python(spark, tmp_path):
 
     digests = [hashlib.sha256(np.array(ids_of(t), "<u4").tobytes()).hexdigest() for i, t in texts[3].items() for _ in range(copies[i])]
     assert sorted(r.ids_sha256 for r in tables[4].collect()) == sorted(digests)
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from wagelens.llm import simhash
+from wagelens.session import local_session
+spark = local_session("2", 2)
+print("rows", simhash.fingerprints(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), 4).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]
