@@ -23,6 +23,8 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -41,6 +43,8 @@ from wagelens.session import ship_package
 WINDOW, LEAST, USUAL, MOST = 16, 256, 1024, 16384
 #: bits of the filter: at most 16 MB, about 10 a shared chunk until then; hashes a chunk
 FILTER_BITS, FILTER_HASHES, BITS_A_CHUNK = 1 << 27, 4, 10
+#: bytes of a batch of rows
+BATCH_BYTES = 16 << 20
 #: longer pieces go to the library itself, whose merging is not quadratic in a piece
 LONG_PIECE = 1 << 16
 
@@ -71,6 +75,7 @@ class Codec:
         self.added = [t["content"] for t in spec["added_tokens"]]
         pieces = {i: p for p, i in vocab.items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        self.kind = "<u2" if len(self.pieces) <= 1 << 16 else "<u4"  # of ids on their way between tasks
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text without added tokens."""
@@ -184,11 +189,11 @@ def _bytes_of(docs: DataFrame) -> DataFrame:
 
 
 def shared_chunks(docs: DataFrame) -> DataFrame:
-    """(hash): chunks that occur more than once, in one document or several."""
+    """(hash): chunks that occur more than once, in one text or several; equal texts of a batch are one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [_hash(p) for t in batch.column(0).to_pylist() for p in _pieces(t)]
+            hashes = [_hash(p) for t in dict.fromkeys(batch.column(0).to_pylist()) for p in _pieces(t)]
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary())], ["hash"])
 
     ship_package(docs.sparkSession)
@@ -222,28 +227,43 @@ RESULT = [("doc_id", "long"), ("n_tokens", "long"), ("ids_sha256", "string"), ("
 RESULT_TYPE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())])
 
 
-def _result(doc_id: int | None, ids: np.ndarray, c: Codec, keep_ids: bool) -> dict:
+def _result(ids: np.ndarray, c: Codec, keep_ids: bool) -> dict:
     raw = ids.astype("<u4").tobytes()
     text = c.decode(ids)
     return {
-        "doc_id": doc_id, "n_tokens": len(ids), "ids_sha256": hashlib.sha256(raw).hexdigest(),
+        "n_tokens": len(ids), "ids_sha256": hashlib.sha256(raw).hexdigest(),
         "decoded_sha256": hashlib.sha256(text.encode("utf-8", "replace")).hexdigest(), "ids": raw if keep_ids else None,
     }
 
 
 PART_TYPE = pa.schema([
-    *RESULT_TYPE, ("row", pa.int64()), ("pos", pa.int32()), ("hash", pa.binary()), ("chunk", pa.binary()),
+    *RESULT_TYPE, ("row", pa.int64()), ("docs", pa.list_(pa.int64())), ("pos", pa.int32()), ("hash", pa.binary()), ("chunk", pa.binary()),
     ("head", pa.string()), ("core", pa.binary()), ("tail", pa.string()),
 ])
-PART = ", ".join(f"{n} {t}" for n, t in [*RESULT, ("row", "long"), ("pos", "int"), ("hash", "binary"), ("chunk", "binary"), ("head", "string"), ("core", "binary"), ("tail", "string")])
+PART = ", ".join(f"{n} {t}" for n, t in [*RESULT, ("row", "long"), ("docs", "array<long>"), ("pos", "int"), ("hash", "binary"), ("chunk", "binary"), ("head", "string"), ("core", "binary"), ("tail", "string")])
 
 
-def _packed(chunk: Chunk) -> dict:
-    return {"head": chunk.head, "core": None if chunk.ids is None else chunk.ids.tobytes(), "tail": chunk.tail}
+CHUNK_TYPE = pa.schema([("of", pa.binary()), ("head", pa.string()), ("core", pa.binary()), ("tail", pa.string())])
 
 
-def _unpacked(head: str, core: bytes | None, tail: str) -> Chunk:
-    return Chunk(head, None if core is None else np.frombuffer(core, "<u4"), tail)
+def _in_batches(rows: Iterator[dict], kind: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded size, however often a long text occurs."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, kind)
+            held, size = [], 0
+    yield pa.RecordBatch.from_pylist(held, kind)
+
+
+def _packed(chunk: Chunk, c: Codec) -> dict:
+    return {"head": chunk.head, "core": None if chunk.ids is None else chunk.ids.astype(c.kind).tobytes(), "tail": chunk.tail}
+
+
+def _unpacked(head: str, core: bytes | None, tail: str, c: Codec) -> Chunk:
+    return Chunk(head, None if core is None else np.frombuffer(core, c.kind).astype("<u4"), tail)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False) -> DataFrame:
@@ -263,16 +283,22 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False) ->
     table = spark.sparkContext.broadcast(chunk_filter(shared))  # at most FILTER_BITS
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _in_batches(parts_of(batches), PART_TYPE)
+
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         c, part, row = codec(tokenizer), TaskContext.get().partitionId() << 33, 0
         for batch in batches:
-            out: list[dict] = []
+            texts: dict[bytes, list] = {}  # equal texts of a batch are one
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts.setdefault(data, []).append(doc_id)
+            for data, doc_ids in texts.items():
                 text = data.decode("utf-8", "replace")
                 pieces = _pieces(data) if not any(t in text for t in c.added) else []
                 hashes = [_hash(p) for p in pieces]
                 maybe = _maybe_shared(hashes, table.value) if hashes else np.zeros(0, bool)
                 if not maybe.any():
-                    out.append(_result(doc_id, c.encode_whole(text), c, keep_ids))
+                    result = _result(c.encode_whole(text), c, keep_ids)
+                    yield from ({"doc_id": d} | result for d in doc_ids)
                     continue
                 row += 1
                 start = 0
@@ -281,33 +307,32 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False) ->
                     if not maybe[start]:  # chunks that are not shared, up to the next that is, are one
                         while end < len(pieces) and not maybe[end]:
                             end += 1
-                    more = {"doc_id": doc_id, "row": part + row, "pos": start}
+                    more = {"row": part + row, "pos": start, "docs": None if start else doc_ids}
                     if maybe[start]:
-                        out.append(more | {"hash": hashes[start], "chunk": pieces[start]})
+                        yield more | {"hash": hashes[start], "chunk": pieces[start]}
                     else:
-                        out.append(more | _packed(c.chunk(b"".join(pieces[start:end]).decode("utf-8", "replace"))))
+                        yield more | _packed(c.chunk(b"".join(pieces[start:end]).decode("utf-8", "replace")), c)
                     start = end
-            yield pa.RecordBatch.from_pylist(out, PART_TYPE)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
-        for batch in batches:
-            out = [{"of": h} | _packed(c.chunk(p.decode("utf-8", "replace"))) for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("of", pa.binary()), ("head", pa.string()), ("core", pa.binary()), ("tail", pa.string())]))
+        rows = (
+            {"of": h} | _packed(c.chunk(p.decode("utf-8", "replace")), c)
+            for batch in batches for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        )
+        return _in_batches(rows, CHUNK_TYPE)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, now, doc, chunks = codec(tokenizer), None, None, []
-        for batch in batches:
-            out: list[dict] = []
-            for row, doc_id, head, core, tail in zip(*(x.to_pylist() for x in batch.columns)):
-                if row != now:
-                    if now is not None:
-                        out.append(_result(doc, join_chunks(chunks, c), c, keep_ids))
-                    now, doc, chunks = row, doc_id, []
-                chunks.append(_unpacked(head, core, tail))
-            yield pa.RecordBatch.from_pylist(out, RESULT_TYPE)
-        if now is not None:
-            yield pa.RecordBatch.from_pylist([_result(doc, join_chunks(chunks, c), c, keep_ids)], RESULT_TYPE)
+        return _in_batches(joined(batches), RESULT_TYPE)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        c = codec(tokenizer)
+        parts = (p for batch in batches for p in zip(*(x.to_pylist() for x in batch.columns)))
+        for _, own in groupby(parts, itemgetter(0)):
+            first = next(own)
+            chunks = [_unpacked(*p[2:], c) for p in chain((first,), own)]
+            result = _result(join_chunks(chunks, c), c, keep_ids)
+            yield from ({"doc_id": d} | result for d in first[1])
 
     parts = stage(_bytes_of(docs).mapInArrow(split, PART), "parts")
     result = ", ".join(f"{n} {t}" for n, t in RESULT)
@@ -316,9 +341,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False) ->
     once = chunks.groupBy("hash").agg(F.any_value("chunk").alias("chunk")).mapInArrow(
         encode, "of binary, head string, core binary, tail string"
     )
-    filled = chunks.select("row", "doc_id", "pos", "hash").join(once, F.col("hash") == F.col("of"))
+    filled = chunks.select("row", "docs", "pos", "hash").join(once, F.col("hash") == F.col("of"))
     own = parts.where("row is not null and hash is null")
-    columns = ["row", "pos", "doc_id", "head", "core", "tail"]
+    columns = ["row", "pos", "docs", "head", "core", "tail"]
     rows = own.select(columns).unionByName(filled.select(columns))
-    ordered = rows.repartition("row").sortWithinPartitions("row", "pos").select("row", "doc_id", "head", "core", "tail")
+    ordered = rows.repartition("row").sortWithinPartitions("row", "pos").select("row", "docs", "head", "core", "tail")
     return parts.where("row is null").select(names).unionByName(ordered.mapInArrow(join, result))
