@@ -31,8 +31,8 @@ SCRIPT_SHARE = 0.01
 SWITCH_PENALTY = 10.0
 #: no word counts for more than this many nats against a candidate, or against a language without its script
 WORD_LIMIT, OTHER_SCRIPT = 6.0, 12.0
-WORDS_AT_ONCE = 200_000
-WORDS_KEPT = 300_000
+#: words labelled together with up to four languages, and words whose scores a task keeps
+WORDS_AT_ONCE, WORDS_KEPT = 200_000, 300_000
 SPAN = "array<struct<start:int,end:int,lang:string>>"
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -191,12 +191,14 @@ def _spans(text: str, words: list[str], path: np.ndarray, languages: tuple[str,
 def label(texts: list[str | None], scorer: _Scorer) -> list[tuple[str, float, list[dict]]]:
     """(language, score, spans) of each text."""
     languages = scorer.model.languages
+    # a path's memory grows with the square of the languages
+    at_once = max(1024, WORDS_AT_ONCE * 16 // max(16, len(languages) ** 2))
     out: list[tuple[str, float, list[dict]]] = []
     at = 0
     while at < len(texts):
         words: list[list[str]] = []
         total = 0
-        while at + len(words) < len(texts) and (not words or total < WORDS_AT_ONCE):
+        while at + len(words) < len(texts) and (not words or total < at_once):
             found = WORD.findall(texts[at + len(words)] or "")
             if not all(map(str.isalpha, found)):
                 found = [w for w in found if any(map(str.isalpha, w))]
