@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wagelens.llm import bpe, language_id, line_dedup, mixing, simhash
 from wagelens.llm.staging import stage
+from wagelens.operators.layout import spread
 
 #: least share of a text's letters that its language must have
 LEAST_LANGUAGE_SHARE = 0.25
@@ -50,8 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
+    """All stages over the whole of ``documents``; a small table is spread over all cores."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        docs = stage(step(spark, spread(docs), sf_dir), name)
+    return STAGES[-1][1](spark, spread(docs), sf_dir)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens.llm import bpe, chat, language_id, line_dedup, metric_join, mixing, oracles, sanitise, simhash, topk, url_filters
+from wagelens.operators.layout import spread
 
 RULES = (
     url_filters.Rule("allow", "org", "/"),
@@ -22,36 +23,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all cores even where the table is one small file; large tables are read as they lie."""
+    return spread(_table(spark, sf_dir, "documents"))
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(_table(spark, sf_dir, "pages"), RULES)
 
 
 def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sanitise.find_spans(_table(spark, sf_dir, "documents"))
+    rows = sanitise.find_spans(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", sanitise.listed(F.col("found")).alias("spans"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, decisions = mixing.mix(_table(spark, sf_dir, "documents"))
+    rows, decisions = mixing.mix(_documents(spark, sf_dir))
     return mixing.decided(rows, decisions).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id.identify(_table(spark, sf_dir, "documents"))
+    return language_id.identify(_documents(spark, sf_dir))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
+    return simhash.near_duplicates(_documents(spark, sf_dir), shingle_words=4, distance=4)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+    return bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(_table(spark, sf_dir, "documents"))
+    return line_dedup.removed_lines(_documents(spark, sf_dir))
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
