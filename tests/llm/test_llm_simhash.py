@@ -79,6 +79,18 @@ def test_empty(spark):
     assert [(r.doc_id, r.component_id) for r in alone] == [(None, None)]
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    draw = random.Random(6)
+    texts = [" ".join(draw.choices([f"w{i}" for i in range(400)], k=60)) for _ in range(8)]
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0])]  # several null ids, one copied
+    rows += [(1, texts[1])]  # a null id is a copy of a numbered document
+    rows += [(2, texts[5]), (2, texts[6])]  # two texts under one id
+    rows += [(3, texts[7]), (4, texts[7]), (3, texts[2])]
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(frame(spark, rows)).collect()), key=repr)
+    want = [(None, texts[0]), (None, texts[3]), (None, texts[4]), (1, texts[1]), (2, texts[5]), (2, texts[6]), (3, texts[7]), (3, texts[2])]
+    assert got == sorted(want, key=repr)
+
+
 def test_masks_cover_all_close_pairs():
     draw = random.Random(1)
     for n, distance in ((10, 4), (10_000, 4), (10_000_000, 4), (10**10, 3), (1000, 0)):

@@ -53,16 +53,18 @@ def fingerprint(text: bytes | None, shingle_words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, fp): one row per row; fp is the fingerprint as a signed long."""
+    """(doc_id, text_hash, fp): one row per row; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")
+    )
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def block_masks(n: int, distance: int) -> list[int]:
@@ -147,36 +149,49 @@ def near_links(distinct: DataFrame, masks: list[int], distance: int) -> DataFram
     return spread.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row of ``docs``.
+def _named(docs: DataFrame, shingle_words: int, distance: int) -> DataFrame:
+    """(doc_id, text_hash, fp, name): each row with the least row of its component.
 
-    Fingerprints link when they differ in ``distance`` bits or fewer; the component
-    has all that links reach, under its smallest doc_id.  Null and empty texts have
-    fingerprint 0 and link like any other.  A null doc_id keeps its row and its
-    links but never names a component (its id is null if all ids are).  Repeated
-    rows give repeated results; an empty table none; other columns are ignored.
+    ``name`` is (no_id, doc_id, text_hash), so rows with an id come before rows without.
     """
     prints = stage(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    distinct = stage(prints.groupBy("fp").agg(F.min(place).alias("first")), "distinct")
     links = near_links(distinct.select("fp"), block_masks(distinct.count(), distance), distance)
     roots = connected_components(links)
     members = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     # written, so that the join below is a plain shuffle and a large component can be split
-    names = stage(members.groupBy("root").agg(F.min("first").alias("component_id")), "names")
-    named = members.join(names, "root").select("fp", "component_id")
+    names = stage(members.groupBy("root").agg(F.min("first").alias("name")), "names")
+    return prints.join(members.join(names, "root").select("fp", "name"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per row of ``docs``.
+
+    Fingerprints link when they differ in ``distance`` bits or fewer; the component
+    has all that links reach, under its smallest doc_id.  Null and empty texts have
+    fingerprint 0 and link like any other.  A null doc_id keeps its row and its
+    links but never names a component (its id is null if all ids are).  Repeated
+    rows give repeated results; an empty table none; other columns are ignored.
+    """
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return _named(docs, shingle_words, distance).select("doc_id", digits.alias("fingerprint"), F.col("name.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
-    """The rows whose doc_id names their component, with the columns of ``docs``.
+    """One row of each component, with the columns of ``docs``.
 
-    Of rows that share a kept doc_id, or have none in a component without ids, one stays.
+    It is the row of least doc_id, null last, and of several texts under that id the
+    one of least hash; of rows with equal id and text one stays.
     """
-    found = near_duplicates(docs, shingle_words, distance).where("doc_id <=> component_id")
-    keep = stage(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    ids = keep.select(F.col("doc_id").alias("_kept")).hint("merge")  # grows with the documents: never broadcast
-    kept = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return kept if keep.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    own = F.col("doc_id").eqNullSafe(F.col("name.doc_id")) & (F.col("text_hash") == F.col("name.text_hash"))
+    found = _named(docs, shingle_words, distance).where(own)
+    keep = stage(found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    ids = keep.select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).hint("merge")  # grows with the documents: never broadcast
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    kept = docs.join(ids, same, "left_semi")
+    if keep.where("rows > 1").isEmpty():
+        return kept
+    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
