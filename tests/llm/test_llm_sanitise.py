@@ -121,3 +121,21 @@ def test_listed(spark):
     spans = sanitise.find_spans(frame(spark, corpus())).where("doc_id = 101").select(sanitise.listed(F.col("found")).alias("s")).first().s
     kinds = [x.split(":")[0] for x in spans.split(",")]
     assert kinds.count("email") == 1 and kinds.count("term") >= 2 and set(kinds) <= {*KINDS, "term"}
+
+
+def test_every_pair_is_judged(spark):
+    out = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, corpus()), least_contexts=1).collect()}
+    assert "krakatoa" not in out[200] and "vesuvius" not in out[300] and "zanzibar" not in out[100]
+
+
+def test_all_contexts_of_a_document_count(spark):
+    shared = "copied words about kilimanjaro to him@corp.example in full"
+    rows = [(i, f"the quick fox {i} jumps over lazy dogs") for i in range(40)]
+    rows += [(100 + i, f"{shared} {'filler ' * 20}{own} saw kilimanjaro with him@corp.example") for i, own in enumerate(["alpha", "delta"])]
+    docs = frame(spark, rows)
+    near = [sanitise.contexts(t, base_spans(t)) for _, t in rows[40:]]
+    least = [min(x["context"] for x in n if x["term"] == "kilimanjaro") for n in near]
+    every = {x["context"] for n in near for x in n if x["term"] == "kilimanjaro"}
+    assert len(set(least)) == 1 and len(every) >= 2  # the copied context is the least of both
+    out = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert "kilimanjaro" not in out[100] + out[101]

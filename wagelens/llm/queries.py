@@ -33,7 +33,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sanitise.find_spans(_documents(spark, sf_dir))
+    rows = sanitise.find_spans(_documents(spark, sf_dir), least_contexts=1)
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", sanitise.listed(F.col("found")).alias("spans"))
 
 

@@ -8,8 +8,9 @@ generalised and above a higher one removed.
 
 Document frequencies are counted over all documents, summed in each task before the
 shuffle.  Only documents with identifiers have contexts, a bounded number of words
-around each.  A pair counts as evidence only from different contexts in different
-documents, so copies of a document disclose nothing by being many.
+around each.  By default a pair counts as evidence only from different contexts in
+different documents, so copies of a document disclose nothing by being many; with
+``least_contexts=1`` the thresholds apply to every pair.
 """
 
 from __future__ import annotations
@@ -135,16 +136,17 @@ def _found(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _DDL)
 
 
-def disclosing_terms(found: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """(entity, term, disclosure, action) for pairs above the threshold."""
+def disclosing_terms(found: DataFrame, generalise: float, remove: float, least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
+    """(entity, term, disclosure, action) for pairs above the threshold.
+
+    A pair needs ``least_contexts`` documents and as many different contexts; with 1, every pair is judged.
+    """
     total = found.where("row is not null").count()
     near = found.where("size(near) > 0").select("row", F.explode("near").alias("n")).select("row", "n.entity", "n.context", "n.term")
-    # a document speaks for a pair once, with one context of its own
-    pairs = near.groupBy("row", "entity", "term").agg(F.min("context").alias("context"))
-    # each pair's documents and different contexts, in two steps that sum before they shuffle
-    by_context = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("docs"))
-    evidence = by_context.groupBy("entity", "term").agg(F.sum("docs").alias("together"), F.count(F.lit(1)).alias("contexts"))
-    evidence = stage(evidence.where(F.col("contexts") >= LEAST_CONTEXTS), "evidence")
+    # all contexts count; both counts are of distinct values and sum before they shuffle
+    evidence = near.groupBy("entity", "term").agg(F.count_distinct("row").alias("together"), F.count_distinct("context").alias("contexts"))
+    enough = (F.col("together") >= least_contexts) & (F.col("contexts") >= least_contexts)
+    evidence = stage(evidence.where(enough), "evidence")
     entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
     terms = found.where("term is not null").select("term", "docs")
     terms = terms.join(evidence.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("docs").alias("term_docs"))
@@ -160,7 +162,7 @@ def _span(kind: Column, start: Column, end: Column, action: Column) -> Column:
     return F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"), action.alias("action"))
 
 
-def find_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def find_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, n_email, n_ip, n_card, n_phone, base_sha256, found.
 
     ``found`` has (start, kind, end, action) by start, then kind; kinds 0 to 3 are the
@@ -168,11 +170,11 @@ def find_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float =
     of the identifiers alone.
 
     Null text is empty; text without identifiers has no spans.  Every row counts as a
-    document, repeated ones too, but only different contexts are evidence.  Null ids
-    stay null; an empty table gives no rows; only doc_id and text are read.
+    document, repeated ones too, but a pair is judged only with ``least_contexts``
+    documents and different contexts; 1 judges every pair.  Null ids stay null; an empty table gives no rows; only doc_id and text are read.
     """
     found = stage(_found(docs), "found")
-    terms = stage(disclosing_terms(found, generalise, remove), "terms")
+    terms = stage(disclosing_terms(found, generalise, remove, least_contexts), "terms")
     near = found.where("size(near) > 0").select("row", F.explode("near").alias("n")).select("row", "n.*")
     spans = near.join(terms, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("action").alias("action"))
     added = spans.groupBy("row").agg(
