@@ -139,3 +139,19 @@ def test_all_contexts_of_a_document_count(spark):
     assert len(set(least)) == 1 and len(every) >= 2  # the copied context is the least of both
     out = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
     assert "kilimanjaro" not in out[100] + out[101]
+
+
+def test_terms_are_masked_in_the_whole_document(spark):
+    rows = [(i, f"the quick fox {i} jumps over lazy dogs") for i in range(40)]
+    far = "filler " * 60
+    rows += [(100 + i, f"{w} knows zanzibar and k7x9 and 金田 via boss@corp.example {far} Zanzibar, 金田 or K7X9 {w}") for i, w in enumerate(["once", "twice"])]
+    rows += [(102, f"zanzibar {far} boss@corp.example")]  # together, though not near
+    out = {r.doc_id: r.text.lower() for r in sanitise.sanitise(frame(spark, rows)).collect()}
+    assert all(x not in out[d] for d in (100, 101) for x in ("zanzibar", "k7x9", "金田"))
+    assert "zanzibar" not in out[102] and "[email]" in out[102]
+
+
+def test_words_outside_identifiers():
+    text = "bob@x.example Bob +1 (386) 555-3733 bob ab 金田"
+    got = sanitise.words_outside(text, base_spans(text))
+    assert [(w["term"], [text[p["start"]:p["end"]] for p in w["at"]]) for w in got] == [("bob", ["Bob", "bob"]), ("金田", ["金田"])]

@@ -3,12 +3,13 @@
 Direct identifiers are found by pattern.  Terms near them can disclose them as well:
 over the corpus, the pointwise mutual information of an entity and a term, as a share
 of the entity's own information, tells how much of the entity the term gives away
-(1: the term occurs only with it).  Near an entity, terms above one threshold are
-generalised and above a higher one removed.
+(1: the term occurs only with it).  Terms are sought near an entity and counted in
+whole documents; in all documents with the entity, those above one threshold are
+generalised and above a higher one removed, wherever they stand.
 
 Document frequencies are counted over all documents, summed in each task before the
 shuffle.  Only documents with identifiers have contexts, a bounded number of words
-around each.  By default a pair counts as evidence only from different contexts in
+around each, and places of their words.  By default a pair counts as evidence only from different contexts in
 different documents, so copies of a document disclose nothing by being many; with
 ``least_contexts=1`` the thresholds apply to every pair.
 """
@@ -32,24 +33,29 @@ from wagelens.llm.staging import stage
 from wagelens.session import ship_package
 
 TERM = "term"
-#: words and code points on either side of an entity; least letters of a term; least number of different contexts of a pair
+#: words and code points on either side of an entity; least letters or digits of a term; least number of different contexts of a pair
 WINDOW, REACH, LEAST_LETTERS, LEAST_CONTEXTS = 8, 256, 3, 2
+#: words beyond Latin say more in less: their least letters, and the last Latin code point
+LEAST_OTHER, LATIN = 2, 0x24F
 GENERALISE, REMOVE = 0.75, 0.9
 TERMS_HELD = 400_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W_]+")
 
 _TYPE = pa.schema([
     ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("row", pa.int64()),
     *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
     ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))),
     ("near", pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
+    ("entities", pa.list_(pa.int64())),
+    ("words", pa.list_(pa.struct([("term", pa.string()), ("at", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))),
     ("term", pa.string()), ("docs", pa.int64()),
 ])
 _DDL = (
     "doc_id long, text_hash long, row long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, "
     "base array<struct<start:int,kind:int,end:int>>, "
-    "near array<struct<entity:long,context:long,term:string,start:int,end:int>>, term string, docs long"
+    "near array<struct<entity:long,context:long,term:string,start:int,end:int>>, entities array<long>, "
+    "words array<struct<term:string,at:array<struct<start:int,end:int>>>>, term string, docs long"
 )
 
 
@@ -66,6 +72,10 @@ def _entity(text: str, kind: str) -> int:
     return _hash(kind, text)
 
 
+def _eligible(word: str) -> bool:
+    return len(word) >= LEAST_LETTERS or len(word) >= LEAST_OTHER and max(word) > chr(LATIN)
+
+
 def _around(text: str, start: int, end: int) -> list[re.Match]:
     """Up to WINDOW whole words on either side, within REACH code points of the identifier."""
     low, high = max(0, start - REACH), min(len(text), end + REACH)
@@ -79,7 +89,7 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     taken = [(s, e) for s, _, e in spans]
 
     def clear(m: re.Match) -> bool:
-        return len(m[0]) >= LEAST_LETTERS and not any(s < m.end() and m.start() < e for s, e in close)
+        return _eligible(m[0]) and not any(s < m.end() and m.start() < e for s, e in close)
 
     out = []
     for i, (start, kind, end) in enumerate(spans):
@@ -93,6 +103,19 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     return out
 
 
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+    """Each term of a text with all its places outside the identifiers."""
+    places: dict[str, list[dict]] = {}
+    i, reached = 0, 0  # spans that begin before a word's end, and how far they reach
+    for m in _WORD.finditer(text):
+        while i < len(spans) and spans[i][0] < m.end():
+            reached = max(reached, spans[i][2])
+            i += 1
+        if m.start() >= reached and _eligible(m[0]):
+            places.setdefault(m[0].lower(), []).append({"start": m.start(), "end": m.end()})
+    return [{"term": t, "at": at} for t, at in places.items()]
+
+
 def _listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
@@ -121,6 +144,8 @@ def _found(docs: DataFrame) -> DataFrame:
                     "base_sha256": hashlib.sha256(_listed(spans).encode()).hexdigest(),
                     "base": [{"start": s, "kind": k, "end": e} for s, k, e in spans],
                     "near": contexts(text, spans) if spans else [],
+                    "entities": sorted({_entity(text[s:e], KINDS[k]) for s, k, e in spans}),
+                    "words": words_outside(text, spans) if spans else [],
                 })
                 counts.update(set(_WORD.findall(text.lower())))
                 if len(counts) > TERMS_HELD:
@@ -136,18 +161,30 @@ def _found(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _DDL)
 
 
+def _together(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(row, entity, term): once for each document with both parts of one of ``pairs``, wherever they stand.
+
+    Goes from a document's words to its entities, so its rows grow with documents, not with how often a pair occurs.
+    """
+    listed = stage(pairs.select("term").distinct(), "listed")
+    words = found.where("size(words) > 0").select("row", "entities", F.explode("words.term").alias("term"))
+    both = words.join(listed.hint("merge"), "term").select("row", F.explode("entities").alias("entity"), "term")
+    return both.join(pairs.select("entity", "term").hint("merge"), ["entity", "term"])
+
+
 def disclosing_terms(found: DataFrame, generalise: float, remove: float, least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
     """(entity, term, disclosure, action) for pairs above the threshold.
 
     A pair needs ``least_contexts`` documents and as many different contexts; with 1, every pair is judged.
     """
     total = found.where("row is not null").count()
-    near = found.where("size(near) > 0").select("row", F.explode("near").alias("n")).select("row", "n.entity", "n.context", "n.term")
-    # all contexts count; both counts are of distinct values and sum before they shuffle
-    evidence = near.groupBy("entity", "term").agg(F.count_distinct("row").alias("together"), F.count_distinct("context").alias("contexts"))
-    enough = (F.col("together") >= least_contexts) & (F.col("contexts") >= least_contexts)
-    evidence = stage(evidence.where(enough), "evidence")
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
+    near = found.where("size(near) > 0").select(F.explode("near").alias("n")).select("n.entity", "n.context", "n.term")
+    # pairs are found near an identifier and counted in whole documents
+    contexts_of = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    candidates = stage(contexts_of.where(F.col("contexts") >= least_contexts), "candidates")
+    together = _together(found, candidates).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
+    evidence = stage(together.where(F.col("together") >= least_contexts), "evidence")
+    entities = found.where("size(entities) > 0").select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
     terms = found.where("term is not null").select("term", "docs")
     terms = terms.join(evidence.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("docs").alias("term_docs"))
     known = evidence.join(entities, "entity").join(terms, "term")
@@ -166,7 +203,8 @@ def find_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float =
     """One row per row of ``docs``: doc_id, text_hash, n_email, n_ip, n_card, n_phone, base_sha256, found.
 
     ``found`` has (start, kind, end, action) by start, then kind; kinds 0 to 3 are the
-    identifiers, which are always masked, 4 is a disclosing term.  ``base_sha256`` is
+    identifiers, which are always masked, 4 is a disclosing term, wherever it stands in
+    a document with its entity.  ``base_sha256`` is
     of the identifiers alone.
 
     Null text is empty; text without identifiers has no spans.  Every row counts as a
@@ -175,8 +213,9 @@ def find_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float =
     """
     found = stage(_found(docs), "found")
     terms = stage(disclosing_terms(found, generalise, remove, least_contexts), "terms")
-    near = found.where("size(near) > 0").select("row", F.explode("near").alias("n")).select("row", "n.*")
-    spans = near.join(terms, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("action").alias("action"))
+    actions = _together(found, terms).join(terms, ["entity", "term"]).groupBy("row", "term").agg(F.max("action").alias("action"))
+    words = found.where("size(words) > 0").select("row", F.explode("words").alias("w")).select("row", "w.term", "w.at")
+    spans = words.join(actions, ["row", "term"]).select("row", F.explode("at").alias("at"), "action").select("row", "at.*", "action")
     added = spans.groupBy("row").agg(
         F.collect_list(_span(F.lit(len(KINDS)), F.col("start"), F.col("end"), F.col("action"))).alias("added")
     )
