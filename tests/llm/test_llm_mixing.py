@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from wagelens.llm import mixing
 
@@ -94,3 +95,22 @@ def test_documents_are_repeated(spark, documents):
     for r in out.collect():
         counts[r.doc_id] += 1
     assert {i: n for i, n in copies.items() if n} == counts
+
+
+def test_repeated_rows_meet_the_target(spark):
+    rows = [(7, "a b c d", "x")] * 300 + [(None, f"n{i} b c", "x") for i in range(300)] + [(i, "w " * (i % 9), "x") for i in range(300)]
+    rows += [(1000 + i, "one two", s) for i in range(400) for s in ("y", None)]
+    docs = frame(spark, rows)
+    want = targets({s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("x", "y", None)})
+    counts = []
+    for n in (3, 17):
+        got = mixing.decided(*mixing.mix(docs.repartition(n), alike=False)).collect()
+        assert len(got) == len(rows)
+        for s in want:
+            assert abs(sum(r.taken for r in got if r.source == s) - want[s]) <= 8
+        counts.append(sorted(((r.doc_id, r.source, r.copies) for r in got), key=repr))
+    assert counts[0] == counts[1]
+    out = mixing.repeat_documents(docs, alike=False)
+    assert out.columns == docs.columns
+    assert out.where("source = 'x' and doc_id = 7").count() == sum(n for d, s, n in counts[0] if d == 7 and s == "x")
+    assert all(abs(sum(len(r.text.split()) for r in out.where(F.col("source").eqNullSafe(s)).collect()) - want[s]) <= 8 for s in want)

@@ -67,6 +67,10 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, mos
     return ranked.withColumn("target", F.least(F.col("cap"), level * F.col("weight"))).drop("rank", "weight", "cap")
 
 
+#: what tells the units of a source apart
+UNIT = ("doc_id", "size", "copy")
+
+
 def _uniform(*parts: Column) -> Column:
     """The same number from 0 to 1 for the same parts in every run."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)) / float(1 << 53)
@@ -80,27 +84,27 @@ def _settle(level: int):
         h_room, h_has = (1 - h["frac"]) * h["words"], h["frac"] * h["words"]
         e_room, e_has = (1 - e["frac"]) * e["words"], e["frac"] * e["words"]
         up, down = F.least(h_room, e_has), F.least(h_has, e_room)
-        draw = _uniform(F.lit(level), h["doc_id"], h["size"], e["doc_id"], e["size"])
+        draw = _uniform(F.lit(level), *(x[c] for x in (h, e) for c in UNIT))
         rises = draw * (up + down) < down
         h_ends = F.when(rises, h_room <= e_has).otherwise(h_has <= e_room)
         moved = F.when(rises, up).otherwise(-down)
 
         def with_frac(x: Column, frac: Column) -> Column:
-            return F.struct(x["words"].alias("words"), x["doc_id"].alias("doc_id"), x["size"].alias("size"), frac.alias("frac"))
+            return F.struct(x["words"].alias("words"), *(x[c].alias(c) for c in UNIT), frac.alias("frac"))
 
         held = F.when(h_ends, with_frac(e, e["frac"] - moved / e["words"])).otherwise(
             with_frac(h, h["frac"] + moved / h["words"])
         )
-        gone = F.when(h_ends, F.struct(h["doc_id"].alias("doc_id"), h["size"].alias("size"), rises.cast("int").alias("extra"))).otherwise(
-            F.struct(e["doc_id"].alias("doc_id"), e["size"].alias("size"), (~rises).cast("int").alias("extra"))
+        gone = F.when(h_ends, F.struct(*(h[c].alias(c) for c in UNIT), rises.cast("int").alias("extra"))).otherwise(
+            F.struct(*(e[c].alias(c) for c in UNIT), (~rises).cast("int").alias("extra"))
         )
         return F.struct(held.alias("held"), F.concat(done, F.array(gone)).alias("done"))
 
     return step
 
 
-ITEM = "struct<words:bigint,doc_id:bigint,size:bigint,frac:double>"
-DONE = "array<struct<doc_id:bigint,size:bigint,extra:int>>"
+ITEM = "struct<words:bigint,doc_id:bigint,size:bigint,copy:bigint,frac:double>"
+DONE = "array<struct<doc_id:bigint,size:bigint,copy:bigint,extra:int>>"
 
 
 def _fold(items: DataFrame, level: int) -> DataFrame:
@@ -111,22 +115,50 @@ def _fold(items: DataFrame, level: int) -> DataFrame:
     return blocks.select("source", "block", folded.alias("f")).select("source", "block", "f.held", "f.done")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Staged rows (..., text_hash, at) with ``copy``: a hash of the text and the row's number among its repeats.
+
+    Repeats are numbered within each written part, and from what the parts before hold, so no task has all of them.
+    """
+    gone = [F.col(c).isNull() for c in ("doc_id", "source")]
+    same = rows.withColumns({"same": F.xxhash64("doc_id", "source", "size", "text_hash", *gone), "part": F.shiftright("at", 33)})
+    counts = same.groupBy("same", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("same", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    here = F.row_number().over(Window.partitionBy("same", "part").orderBy("at"))
+    number = F.col("before") + F.col("here")
+    numbered = same.withColumn("here", here).join(before.hint("merge"), ["same", "part"])
+    return numbered.select("doc_id", "source", "size", F.xxhash64("text_hash", number).alias("copy"), "at")
+
+
 def mix(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, alike: bool = True,
+    at: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Decide how often the mix takes each document.
 
-    Returns (rows, decisions): one row per row of ``docs`` (doc_id, source, size),
-    and per distinct (doc_id, source, size) the columns source_size, target,
+    Returns (rows, decisions): one row per row of ``docs`` (doc_id, source, size, copy),
+    and per distinct (doc_id, source, size, copy) the columns source_size, target,
     copies, taken.  ``taken`` is copies times size, never above ``most`` sizes.
 
     Null text and text of white space has size 0 and 0 copies.  A null source is a
-    source, ranked last; a null doc_id is an id.  Repeated rows are decided
-    together and alike, as one document of their joint words.  An empty table gives
-    no rows.  Draws hash ids and sizes, so reruns on any partitioning agree.
+    source, ranked last; a null doc_id is an id.  With ``alike``, rows of
+    equal doc_id, source and size are decided together, as one document of their joint
+    words (copy 0), and a source can miss its target by all of them.  Without, each row
+    is a document, so every source ends within one row of its target; of equal rows
+    some are taken more often, and how many is the same in every run.  ``at`` then tells
+    rows apart, if ``docs`` has such numbers, and is kept in the rows.  An empty table
+    gives no rows.  Draws hash ids, sizes and copies, so reruns on any partitioning agree.
     """
-    rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size")), "sizes")
-    units = stage(rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "units")
+    given = [F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size")]
+    if alike:
+        rows = stage(docs.select(*given, F.lit(0).cast("long").alias("copy")), "sizes")
+        units = stage(rows.groupBy("doc_id", "source", "size", "copy").agg(F.count(F.lit(1)).alias("rows")), "units")
+    else:
+        number = F.monotonically_increasing_id() if at is None else at
+        rows = stage(docs.select(*given, F.xxhash64("text").alias("text_hash"), number.alias("at")), "sizes")
+        rows = stage(_numbered(rows), "numbered")
+        units = rows.select("doc_id", "source", "size", "copy", F.lit(1).cast("long").alias("rows"))
     sources = units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("rows")).alias("size"), F.count(F.lit(1)).alias("units")
     )
@@ -139,8 +171,8 @@ def mix(
     parts = parts.withColumns({"whole": F.floor("expected"), "frac": F.col("expected") - F.floor("expected")})
 
     width = math.ceil(widest / FAN)
-    block = F.pmod(F.xxhash64(F.lit("block"), "doc_id", "size"), F.ceil(F.col("units") / FAN))
-    item = F.struct((F.col("size") * F.col("rows")).alias("words"), "doc_id", "size", "frac")
+    block = F.pmod(F.xxhash64(F.lit("block"), *UNIT), F.ceil(F.col("units") / FAN))
+    item = F.struct((F.col("size") * F.col("rows")).alias("words"), *UNIT, "frac")
     open_ = parts.where("frac > 0").select("source", block.alias("block"), item.alias("item"))
     settled, level = [], 0
     while True:
@@ -150,32 +182,45 @@ def mix(
             break
         width, level = math.ceil(width / FAN), level + 1
         open_ = folded.select("source", F.floor(F.col("block") / FAN).alias("block"), F.col("held").alias("item"))
-    last = _uniform(F.lit("last"), F.col("held.doc_id"), F.col("held.size")) < F.col("held.frac")
-    extras = folded.select("source", "held.doc_id", "held.size", last.cast("int").alias("extra"))
+    last = _uniform(F.lit("last"), *(F.col("held")[c] for c in UNIT)) < F.col("held.frac")
+    extras = folded.select("source", *(F.col("held")[c].alias(c) for c in UNIT), last.cast("int").alias("extra"))
     for more in settled:
         extras = extras.unionByName(more)
 
-    e = extras.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "extra")
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+    e = extras.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), F.col("copy").alias("c"), "extra")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+        & (F.col("copy") == F.col("c"))
+    )
     copies = (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long")
     decisions = parts.join(e, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "copy", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
     return rows, stage(decisions, "decisions")
 
 
 def decided(rows: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows (doc_id, source, size, ...) with the decision for each."""
+    """The rows (doc_id, source, size, copy, ...) with the decision for each."""
     d = decisions.select(
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"),
-        "source_size", "target", "copies", "taken",
+        F.col("copy").alias("_c"), "source_size", "target", "copies", "taken",
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
+        & (F.col("copy") == F.col("_c"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
-    return rows.join(d, same).drop("_d", "_s", "_z")
+    return rows.join(d, same).drop("_d", "_s", "_z", "_c")
 
 
-def repeat_documents(docs: DataFrame, **options) -> DataFrame:
+def repeat_documents(docs: DataFrame, alike: bool = True, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as decided, with the columns of ``docs``."""
+    if not alike:
+        # written, so that a row keeps its number
+        every = stage(docs.withColumn("_at", F.monotonically_increasing_id()), "rows")
+        rows, decisions = mix(every, alike=False, at=F.col("_at"), **options)
+        d = decided(rows, decisions).where("copies > 0").select(F.col("at").alias("_at"), F.col("copies").alias("_n"))
+        taken = every.join(d.hint("merge"), "_at")  # grows with the documents: never broadcast
+        return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_n")).alias("_i")).select(*docs.columns)
     _, decisions = mix(docs, **options)
     d = decisions.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("copies").alias("_n"))
     same = (

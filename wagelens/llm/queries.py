@@ -38,7 +38,7 @@ def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, decisions = mixing.mix(_documents(spark, sf_dir))
+    rows, decisions = mixing.mix(_documents(spark, sf_dir), alike=False)
     return mixing.decided(rows, decisions).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
