@@ -185,10 +185,97 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(name, vec_id) AS component_id
 FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least l ON l.a = vec_id
 """
 
+def _nibbles() -> str:
+    """What four zero bits make of the CRC-32 register, for each value of the bits that leave it."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(str(value))
+    return f"[{', '.join(table)}]"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8, from its hex digits, the low one of each byte first."""
+    digits = f"hex(encode({text}))"
+    nibble = f"instr('0123456789ABCDEF', {digits}[i + 2 - 2 * (i % 2) : i + 2 - 2 * (i % 2)]) - 1"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, list_transform(range(length({digits})), lambda i: {nibble})), "
+        f"lambda c, b: xor(c >> 4, {_nibbles()}[xor(c, b) % 16 + 1])), 4294967295)"
+    )
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = f"""
+WITH RECURSIVE
+runs AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+named AS (SELECT run, k, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name FROM runs),
+hashed AS (SELECT run, k, {_crc32("name")} AS h FROM named),
+v AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(k) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3),
+less AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN v b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place
+  FROM near),
+forms AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best b ON b.word = v.word AND b.place = 1),
+way(word, here) AS (
+  SELECT word, word FROM forms UNION ALL SELECT w.word, f.form FROM way w JOIN forms f ON f.word = w.here WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.here AS root FROM way w JOIN forms f ON f.word = w.here WHERE f.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM forms JOIN ends USING (word)
+"""
+
+_FEATURES = f"""
+  SELECT *, list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS features FROM (
+    SELECT *, coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS words FROM {{0}})"""
+
+OP13 = f"""
+WITH
+docs AS MATERIALIZED (
+  SELECT doc_id, len(words) AS n_words, len(features) AS n_features, features, row_number() OVER () AS place
+  FROM ({_FEATURES.format("documents")})),
+own AS MATERIALIZED (SELECT place, unnest(features) AS feature FROM docs),
+wanted AS MATERIALIZED (SELECT unnest(features) AS feature FROM ({_FEATURES.format("benchmark")})),
+hashed AS MATERIALIZED (
+  SELECT feature, {_crc32("feature")} % 10000 AS bucket FROM (SELECT feature FROM own UNION SELECT feature FROM wanted)),
+s AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (feature) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (feature) GROUP BY 1),
+sums AS (SELECT (SELECT count(*) FROM own) AS ss, (SELECT count(*) FROM wanted) AS tt),
+gain AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (SELECT place, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM own JOIN hashed USING (feature) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT doc_id, n_words, CAST(n_features AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (place)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         floor(25 * count(*) FILTER (n_words >= 20) OVER () / 100) AS drawn
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM placed
+"""
+
 SQL: dict[str, str] = {
     "op1_url_filter": OP1,
     "op7_line_dedup": OP7,
     "op8_chat_format": OP8,
     "op9_top_k": OP9,
     "op10_metric_join": OP10,
+    "op11_spelling_variants": OP11,
+    "op13_resample": OP13,
 }

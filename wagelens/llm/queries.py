@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagelens.llm import bpe, chat, language_id, line_dedup, metric_join, mixing, oracles, sanitise, simhash, topk, url_filters
+from wagelens.llm import bpe, chat, language_id, line_dedup, metric_join, mixing, oracles, resample, sanitise, simhash, spelling, token_counts, topk, url_filters
 from wagelens.operators.layout import spread
 
 RULES = (
@@ -72,6 +72,20 @@ def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(_documents(spark, sf_dir)))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -84,6 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_top_k": op9_top_k,
         "op10_metric_join": op10_metric_join,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_token_counts": op12_token_counts,
+        "op13_resample": op13_resample,
     }
 
 
