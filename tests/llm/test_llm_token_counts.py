@@ -40,6 +40,7 @@ def test_long_texts_and_a_small_memory(spark, monkeypatch, small):
     shortcut = token_counts.prove(MODEL)
     monkeypatch.setattr(token_counts, "PIECE", 100)
     monkeypatch.setattr(token_counts, "PRE_TOKENS", 7)
+    monkeypatch.setattr(token_counts, "FEW", 10)
     monkeypatch.setattr(token_counts, "KEPT", 20)
     monkeypatch.setattr(token_counts, "KEPT_LENGTH", 5)
     counter = token_counts.Counter(MODEL, shortcut)

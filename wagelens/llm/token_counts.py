@@ -31,6 +31,8 @@ SPACE = "▁"
 PIECE, PRE_TOKENS = 1 << 20, 1 << 16
 #: counts of merged pre-tokens a task keeps, and the longest pre-token kept
 KEPT, KEPT_LENGTH = 1 << 19, 64
+#: up to so many are encoded one by one: the library starts a thread for a list
+FEW = 64
 #: fields of the model file and their values, as its public format numbers them
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -132,7 +134,8 @@ def merged(model: sentencepiece.SentencePieceProcessor, shortcut: Shortcut, pre_
     own = [shortcut.prefix and t[0] == SPACE and len(t) > 1 for t in pre_tokens]
     texts = [t[1:] if begins else shortcut.apart + t for t, begins in zip(pre_tokens, own)]
     before = len(model.encode(shortcut.apart))
-    return [len(ids) - (0 if begins else before) for ids, begins in zip(model.encode(texts, num_threads=1), own)]
+    found = model.encode(texts, num_threads=1) if len(texts) > FEW else map(model.encode, texts)
+    return [len(ids) - (0 if begins else before) for ids, begins in zip(found, own)]
 
 
 class Counter:
