@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from wagelens.streaming import feeds
@@ -9,28 +10,56 @@ from wagelens.streaming import feeds
 DAY = datetime(2024, 1, 1)
 
 
-def run(spark, tmp_path, batches, watermark):
-    source, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
-    rows = []
-    for number, batch in enumerate(batches):
-        df = spark.createDataFrame([(k, DAY + timedelta(days=d)) for k, d in batch], "id int, ts timestamp")
-        df.coalesce(1).write.mode("append").parquet(str(source))
-        feed = feeds.read_feed(spark, str(source), df.schema)
-        kept = feeds.first_seen_feed(feed, "id", F.col("ts"), watermark)
-        feeds.append_feed(kept, str(out), str(state)).awaitTermination()  # each start continues the last
-        seen = spark.read.parquet(str(out)).select("id", "ts").collect()
-        rows.append(sorted((r["id"], (r["ts"] - DAY).days) for r in seen))
-    return rows
 
 
-def test_equals_batch_when_the_watermark_covers_all_gaps(spark, tmp_path):
-    steps = run(spark, tmp_path, [[(1, 0), (2, 1)], [(1, 5), (3, 6)], [(2, 9), (3, 9), (4, 9)]], "100 days")
-    assert steps[-1] == [(1, 0), (2, 1), (3, 6), (4, 9)]
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Every partition of a state costs files and a Python worker in each batch."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_a_key_is_forgotten_after_the_watermark(spark, tmp_path):
-    steps = run(spark, tmp_path, [[(1, 0)], [(2, 10)], [(3, 11)], [(1, 12)]], "1 days")
-    assert (1, 0) in steps[-1] and (1, 12) in steps[-1]
+SCHEMA = "id int, ts timestamp, seq int, note string"
+
+
+def run(spark, tmp_path, batches, delay, **options):
+    """Rows (id, day, seq) out after each batch; every start goes on where the last one ended."""
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    steps = []
+    for batch in batches:
+        rows = [(k, None if d is None else DAY + timedelta(days=d), s, None) for k, d, s in batch]
+        df = spark.createDataFrame(rows, SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(source)
+        feed = feeds.read_feed(spark, source, df.schema)
+        kept = feeds.first_seen_feed(feed, "id", F.col("ts"), delay, ("seq",), **options)
+        feeds.append_feed(kept, out, state).awaitTermination()
+        steps.append(sorted((r["id"] is None, r["id"], (r["ts"] - DAY).days, r["seq"]) for r in spark.read.schema(SCHEMA).parquet(out).collect()))
+    return [[r[1:] for r in step] for step in steps]
+
+
+def test_the_earliest_row_wins_whatever_the_order_of_arrival(spark, tmp_path):
+    batches = [[(1, 5, 0), (2, 3, 0)], [(1, 0, 9), (1, 0, 4), (2, 1, 0), (3, 6, 0)], [(None, 7, 0), (None, 2, 1), (3, 6, -1), (4, None, 0)], [(99, 200, 0)]]
+    steps = run(spark, tmp_path, batches, "100 days")
+    assert steps[-2] == []  # nothing is certain until the watermark is there
+    assert steps[-1] == [(1, 0, 4), (2, 1, 0), (3, 6, -1), (None, 2, 1)]
+
+
+def test_late_rows_do_not_count(spark, tmp_path):
+    steps = run(spark, tmp_path, [[(1, 10, 0)], [(1, 9, 0), (2, 20, 0)], [(1, 8, 0), (2, 3, 0), (2, 19, 0)], [(99, 60, 0)]], "2 days")
+    assert steps[-1] == [(1, 9, 0), (2, 19, 0)]
+
+
+def test_a_key_is_forgotten_after_the_horizon(spark, tmp_path):
+    batches = [[(1, 0, 0)], [(1, 4, 0), (2, 10, 0)], [(1, 12, 0), (3, 40, 0)], [(1, 41, 0)], [(4, 80, 0)]]
+    steps = run(spark, tmp_path, batches, "1 days", horizon=timedelta(days=20))
+    assert [r for r in steps[-1] if r[0] == 1] == [(1, 0, 0), (1, 41, 0)]
+    assert [r for r in steps[-1] if r[0] == 2] == [(2, 10, 0)]
+
+
+def test_without_a_horizon_a_key_is_held(spark, tmp_path):
+    steps = run(spark, tmp_path, [[(1, 0, 0)], [(2, 10, 0)], [(1, 500, 0)], [(1, 1000, 0), (3, 1001, 0)], [(4, 2000, 0)]], "1 days")
+    assert [r for r in steps[-1] if r[0] == 1] == [(1, 0, 0)]
 
 
 def test_append_reads_each_file_once(spark, tmp_path):
@@ -42,10 +71,11 @@ def test_append_reads_each_file_once(spark, tmp_path):
 
 
 def test_a_hot_key_is_thinned_before_the_shuffle(spark):
-    rows = [("hot", DAY + timedelta(minutes=i)) for i in range(500)] + [(f"k{i}", DAY) for i in range(20)]
-    rows += [(None, DAY), (None, DAY), ("hot", None)]
-    df = spark.createDataFrame(rows, "id string, t timestamp").coalesce(1)
-    got = [(r["id"], r["t"]) for r in feeds.thin_repeats(df, "id", "t").collect()]
-    hot = sorted(t for k, t in got if k == "hot" and t is not None)
-    assert hot == [DAY, DAY + timedelta(minutes=499)]
-    assert sum(k is None for k, _ in got) == 1 and len({k for k, _ in got}) == 22
+    rows = [("hot", DAY + timedelta(seconds=i), 500 - i) for i in range(500)] + [(f"k{i}", DAY, i) for i in range(20)]
+    rows += [(None, DAY, 1), (None, DAY, None), ("hot", DAY, 7)]
+    df = spark.createDataFrame(rows, "id string, t timestamp, seq int").withColumn("g", F.date_trunc("minute", "t")).coalesce(1)
+    got = [(r["id"], r["t"], r["seq"]) for r in feeds.thin_repeats(df, "id", "t", ["seq"], "g").collect()]
+    hot = sorted((t, s) for k, t, s in got if k == "hot")
+    assert hot[0] == (DAY, 7) and hot[1:] == [(DAY + timedelta(minutes=i), 500 - 60 * i) for i in range(1, 9)]
+    assert [s for k, _, s in got if k is None] == [None] and len(got) == 30
+    assert feeds.thin_repeats(df.limit(0), "id", "t", ["seq"], "g").count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -216,12 +217,20 @@ def _(spark, sf):
     return dedup.across_sources(df, "snapshot", "seq").select("posting_id", "url", "title", "snapshot")
 
 
-@check("D3_streaming_first_seen", "SELECT user_id, 1::BIGINT AS n FROM events GROUP BY 1")
+@check("D3_streaming_first_seen", _FIRST)
 def _(spark, sf):
-    path, state = scratch_path(spark, "seen"), scratch_path(spark, "seen_state")
-    kept = feeds.first_seen_feed(_feed(spark, sf).select("event_id", "ts", "user_id"), "user_id", F.col("ts"), "4000 days")
+    """The events arrive in three files, the later days first, and a closing row."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    source, path, state = (scratch_path(spark, n) for n in ("arrivals", "seen", "seen_state"))
+    span = events.agg(F.max("ts").alias("last")).first()["last"]
+    for day in (2, 0, 1):  # each file has the events of every third day
+        part = events.where(F.datediff("ts", F.lit("2000-01-01")) % 3 == day)
+        part.coalesce(1).write.mode("append").parquet(source)
+    feeds.close_feed(spark, source, events.schema, {"ts": span + timedelta(days=4001), "user_id": -1})
+    feed = feeds.read_feed(spark, source, events.schema, per_batch=1)
+    kept = feeds.first_seen_feed(feed, "user_id", F.col("ts"), "4000 days", ("event_id",))
     feeds.append_feed(kept, path, state).awaitTermination()
-    return spark.read.parquet(path).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.schema(events.schema).parquet(path).drop("ts")
 
 
 # ---- result pages --------------------------------------------------------
