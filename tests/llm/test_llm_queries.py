@@ -58,6 +58,24 @@ def test_pipeline_of_nothing_and_of_odd_rows(spark, tmp_path):
         assert (corpus_pipeline.run(spark, path).count() > 0) == bool(rows)
 
 
+def test_stages_keep_columns_of_any_name(spark, small):
+    """Further columns with the names that operators use themselves, values compared."""
+    names = "id hash runs found kept at n i s z d c copy size _id _hash _runs _found _kept _at _n _i _s _z _d _c part same fp".split()
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = docs.withColumns({n: F.xxhash64("doc_id", F.lit(n)) for n in names})
+
+    def changed(rows):
+        return rows.where(" OR ".join(f"NOT `{n}` <=> xxhash64(doc_id, '{n}')" for n in names)).count()
+
+    taken = corpus_pipeline.mixing.repeat_documents(docs, alike=True)
+    assert taken.columns == docs.columns and taken.count() and not changed(taken)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = stage(step(spark, docs, small), name)
+        assert out.columns == docs.columns and out.count()
+        assert not changed(out)
+        docs = out
+
+
 def test_each_stage_against_plain_python(spark, tmp_path):
     draw = random.Random(4)
     words = {"en": "the of and house river people many street".split(), "de": "der die und haus wasser leute straße viele".split()}

@@ -86,7 +86,7 @@ def test_disclosure_against_counting(spark):
     rows = corpus()
     docs = frame(spark, rows)
     found = sanitise._found(docs).persist()
-    got = {(r.entity, r.term): (r.disclosure, r.action) for r in sanitise.disclosing_terms(found, 0.3, 0.9).collect()}
+    got = {(r.entity, r.term): (r.disclosure, r.action) for r in sanitise.disclosing_terms(found, 0.3, 0.9, least_contexts=2).collect()}
     terms, entities, pairs, contexts = Counter(), Counter(), Counter(), {}
     for _, text in rows:
         least = {}
@@ -110,7 +110,7 @@ def test_disclosure_against_counting(spark):
 
 
 def test_texts_are_masked(spark):
-    out = {r.doc_id: r for r in sanitise.sanitise(frame(spark, corpus())).collect()}
+    out = {r.doc_id: r for r in sanitise.sanitise(frame(spark, corpus()), least_contexts=2).collect()}
     assert out[100].text.count("zanzibar") == 0 and "[email]" in out[100].text
     assert "krakatoa" in out[200].text and "lone@corp.example" not in out[200].text  # copies are no evidence
     assert "vesuvius" in out[300].text  # nor is one document
@@ -124,7 +124,7 @@ def test_listed(spark):
 
 
 def test_every_pair_is_judged(spark):
-    out = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, corpus()), least_contexts=1).collect()}
+    out = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, corpus())).collect()}
     assert "krakatoa" not in out[200] and "vesuvius" not in out[300] and "zanzibar" not in out[100]
 
 
@@ -137,7 +137,7 @@ def test_all_contexts_of_a_document_count(spark):
     least = [min(x["context"] for x in n if x["term"] == "kilimanjaro") for n in near]
     every = {x["context"] for n in near for x in n if x["term"] == "kilimanjaro"}
     assert len(set(least)) == 1 and len(every) >= 2  # the copied context is the least of both
-    out = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    out = {r.doc_id: r.text for r in sanitise.sanitise(docs, least_contexts=2).collect()}
     assert "kilimanjaro" not in out[100] + out[101]
 
 
@@ -155,3 +155,76 @@ def test_words_outside_identifiers():
     text = "bob@x.example Bob +1 (386) 555-3733 bob ab 金田"
     got = sanitise.words_outside(text, base_spans(text))
     assert [(w["term"], [text[p["start"]:p["end"]] for p in w["at"]]) for w in got] == [("bob", ["Bob", "bob"]), ("金田", ["金田"])]
+
+
+def plain_spans(rows, least=0.75):
+    """Spans of (doc_id, text) rows by counting every pair in every document, without any index."""
+    word = re.compile(r"[^\W_]+")
+    parsed = []
+    for _, text in rows:
+        spans, items, at = base_spans(text), [], 0
+        for start, kind, end in [*spans, (len(text), None, len(text))]:
+            items += [(m.start(), m.end(), None) for m in word.finditer(text, at, max(at, start))]
+            if kind is not None and start >= at:
+                items.append((start, end, sanitise._entity(text[start:end], KINDS[kind])))
+            at = max(at, end)
+        parsed.append((text, spans, items))
+    terms, entities, near, both, places = Counter(), Counter(), set(), Counter(), []
+    for text, _, items in parsed:
+        own = {}
+        for s, e, x in items:
+            t = text[s:e]
+            if x is None and (len(t) >= 3 or len(t) >= 2 and max(t) > "ɏ"):
+                own.setdefault(t.lower(), []).append((s, e))
+        found = {x for *_, x in items if x is not None}
+        terms.update(own.keys())
+        entities.update(found)
+        both.update((x, t) for x in found for t in own)
+        for i, (*_, x) in enumerate(items):
+            if x is not None:
+                around = [text[s:e].lower() for s, e, y in items[max(0, i - 8) : i + 9] if y is None]
+                near.update((x, t) for t in around if t in own)
+        places.append((found, own))
+    out = []
+    for (text, spans, _), (found, own) in zip(parsed, places):
+        all_spans = [(s, k, e) for s, k, e in spans]
+        for t, at in own.items():
+            told = [1 + math.log(both[x, t] / terms[t]) / math.log(len(rows) / entities[x]) for x in found if (x, t) in near and len(rows) > entities[x]]
+            if told and max(told) >= least:
+                all_spans += [(s, len(KINDS), e) for s, e in at]
+        out.append(sorted(all_spans))
+    return out
+
+
+def test_all_spans_against_counting_every_pair(spark):
+    long = "漢" * 300
+    rows = [(i, f"the quick fox {i % 5} jumps over lazy dogs number w{i}") for i in range(50)]
+    rows += [
+        (100, f"{long} boss@corp.example {long} and Zquxo İstanbulx {long}"), (101, "boss@corp.example knows İSTANBULX and zquxo"),
+        (102, "联系foo@corp.example联系 or 10.0.0.1/10.0.0.2 by vesuvius"), (103, "mail x.y@corp.example,a@corp.example;b@corp.example c@corp.example d@corp.example e@corp.example f@corp.example g@corp.example h@corp.example i@corp.example krakatoa"),
+        (104, ""), (105, "boss@corp.example the quick fox jumps over lazy dogs"), (106, "+1 (386) 555-3733.1.2 pico"),
+    ]
+    rows += [(200 + i, f"boss@corp.example sent word{i} and word{i + 1} via 10.0.0.{i}") for i in range(30)]
+    got = {r.doc_id: [(x["start"], x["kind"], x["end"]) for x in r.found] for r in sanitise.find_spans(frame(spark, rows)).collect()}
+    want = dict(zip((d for d, _ in rows), plain_spans(rows)))
+    assert got == want
+    text = dict(rows)[100]
+    assert {text[s:e] for s, k, e in got[100] if k == len(KINDS)} >= {"Zquxo", "İstanbulx", long}
+
+
+def test_a_long_list_of_identifiers(spark):
+    rows = [(i, f"the quick fox {i} jumps over lazy dogs") for i in range(20)]
+    rows += [(100, " ".join(f"name{i} <user{i}@corp.example>" for i in range(20_000)))]
+    got = sanitise.find_spans(frame(spark, rows)).where("doc_id = 100").first()
+    assert got.n_email == 20_000 and len(got.found) == 40_000
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["id", "hash", "found", "_id", "_hash", "_found", "row", "term", "ID_"]
+    rows = [(i, t, *range(len(names))) for i, t in corpus()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    out = sanitise.sanitise(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert len(got) == len(rows) and all(tuple(r)[2:] == tuple(range(len(names))) for r in got)
+    assert "zanzibar" not in next(r.text for r in got if r.doc_id == 100)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagelens.llm.mixing import word_count
+from wagelens.llm.columns import free_names
 from wagelens.llm.staging import stage
 
 LEAST_WORDS = 50
@@ -149,22 +150,23 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return stage(spans.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs")), "spans")
 
 
-def _joined(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``docs`` with a column _runs, null where nothing is deleted.
+def _joined(docs: DataFrame, runs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a further column, null where nothing is deleted, and the name of that column.
 
     The runs grow with the documents, so this is a shuffled join at any size.
     """
-    r = runs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("_runs"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(r.hint("merge"), same, "left")
+    id_, hash_, runs_ = free_names(docs, "id", "hash", "runs")
+    r = runs.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("runs").alias(runs_))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_))
+    return docs.join(r.hint("merge"), same, "left").drop(id_, hash_), runs_
 
 
-def _kept(text: Column) -> Column:
-    """The text without the lines of ``_runs``: the stretches between them, joined."""
-    ends = F.concat(F.array(F.lit(0)), F.col("_runs.hi"))
-    begins = F.concat(F.col("_runs.lo"), F.array(F.size(_lines(text))))
+def _kept(text: Column, runs: Column) -> Column:
+    """The text without the lines of ``runs``: the stretches between them, joined."""
+    ends = F.concat(F.array(F.lit(0)), runs["hi"])
+    begins = F.concat(runs["lo"], F.array(F.size(_lines(text))))
     stretches = F.zip_with(ends, begins, lambda a, b: F.slice(_lines(text), a + 1, b - a))
-    return F.when(F.col("_runs").isNull(), text).otherwise(F.array_join(F.flatten(stretches), "\n"))
+    return F.when(runs.isNull(), text).otherwise(F.array_join(F.flatten(stretches), "\n"))
 
 
 def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -174,9 +176,10 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     break nor make a run and go only with what surrounds them.  A text all of whose
     lines repeat becomes empty; null text stays null; no row is dropped.  Rows with
     equal doc_id and text are one document, cleaned alike; an empty table gives no rows.
+    Further columns keep their names and values, whatever they are called.
     """
-    joined = _joined(docs, repeated_runs(docs, least_words))
-    return joined.select(*(_kept(docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns))
+    joined, runs = _joined(docs, repeated_runs(docs, least_words))
+    return joined.select(*(_kept(F.col(c), F.col(runs)).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -185,12 +188,12 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     ``removed`` lists spans of lines as lo:hi, joined by commas; the hash is of the
     text that stays, null for null text.
     """
-    rows = _joined(docs.select("doc_id", "text"), repeated_runs(docs, least_words))
-    runs = F.coalesce("_runs", F.array().cast("array<struct<lo:int,hi:int>>"))
+    rows, found = _joined(docs.select("doc_id", "text"), repeated_runs(docs, least_words))
+    runs = F.coalesce(F.col(found), F.array().cast("array<struct<lo:int,hi:int>>"))
     n_lines = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0))
     removed = F.aggregate(runs, F.lit(0), lambda n, r: n + r["hi"] - r["lo"])
     spans = F.array_join(F.transform(runs, lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ",")
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(n_lines).alias("n_lines"),
-        removed.alias("n_removed"), spans.alias("removed"), F.sha2(_kept(F.col("text")), 256).alias("text_sha256"),
+        removed.alias("n_removed"), spans.alias("removed"), F.sha2(_kept(F.col("text"), F.col(found)), 256).alias("text_sha256"),
     )

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagelens.llm.columns import free_names
 from wagelens.llm.staging import stage
 
 WEIGHTS = (5, 2, 1)
@@ -213,19 +214,18 @@ def decided(rows: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def repeat_documents(docs: DataFrame, alike: bool = True, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as decided, with the columns of ``docs``."""
-    if not alike:
+    """The mix itself: every row of ``docs`` as often as decided, with the columns of ``docs``, whatever they are called."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    at, n, i, d, s, z = free_names(docs, "at", "n", "i", "d", "s", "z")
+    if alike:
+        _, decisions = mix(docs, **options)
+        taken = decisions.select(F.col("doc_id").alias(d), F.col("source").alias(s), F.col("size").alias(z), F.col("copies").alias(n))
+        same = docs["doc_id"].eqNullSafe(F.col(d)) & docs["source"].eqNullSafe(F.col(s)) & (word_count(docs["text"]) == F.col(z))
+        rows = docs.join(taken.where(F.col(n) > 0).hint("merge"), same)  # grows with the documents: never broadcast
+    else:
         # written, so that a row keeps its number
-        every = stage(docs.withColumn("_at", F.monotonically_increasing_id()), "rows")
-        rows, decisions = mix(every, alike=False, at=F.col("_at"), **options)
-        d = decided(rows, decisions).where("copies > 0").select(F.col("at").alias("_at"), F.col("copies").alias("_n"))
-        taken = every.join(d.hint("merge"), "_at")  # grows with the documents: never broadcast
-        return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_n")).alias("_i")).select(*docs.columns)
-    _, decisions = mix(docs, **options)
-    d = decisions.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("copies").alias("_n"))
-    same = (
-        docs["doc_id"].eqNullSafe(F.col("_d")) & docs["source"].eqNullSafe(F.col("_s"))
-        & (word_count(docs["text"]) == F.col("_z"))
-    )
-    taken = docs.join(d.where("_n > 0").hint("merge"), same)  # grows with the documents: never broadcast
-    return taken.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_n")).alias("_i")).select(*docs.columns)
+        every = stage(docs.withColumn(at, F.monotonically_increasing_id()), "rows")
+        rows, decisions = mix(every, alike=False, at=F.col(at), **options)
+        taken = decided(rows, decisions).where("copies > 0").select(F.col("at").alias(at), F.col("copies").alias(n))
+        rows = every.join(taken.hint("merge"), at)
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col(n))).alias(i)).select(*columns)

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wagelens.llm.columns import free_names
 from wagelens.llm.personal_data import CARD, EMAIL, KINDS, PHONE, base_spans
 from wagelens.llm.staging import stage
 from wagelens.session import ship_package
 
 TERM = "term"
-#: words and code points on either side of an entity; least letters or digits of a term; least number of different contexts of a pair
-WINDOW, REACH, LEAST_LETTERS, LEAST_CONTEXTS = 8, 256, 3, 2
+#: words on either side of an entity; least letters or digits of a term; least number of different contexts of a pair
+WINDOW, LEAST_LETTERS, LEAST_CONTEXTS = 8, 3, 1
 #: words beyond Latin say more in less: their least letters, and the last Latin code point
 LEAST_OTHER, LATIN = 2, 0x24F
 GENERALISE, REMOVE = 0.75, 0.9
@@ -46,7 +49,7 @@ _TYPE = pa.schema([
     ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("row", pa.int64()),
     *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
     ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))),
-    ("near", pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
+    ("near", pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string())]))),
     ("entities", pa.list_(pa.int64())),
     ("words", pa.list_(pa.struct([("term", pa.string()), ("at", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))),
     ("term", pa.string()), ("docs", pa.int64()),
@@ -54,7 +57,7 @@ _TYPE = pa.schema([
 _DDL = (
     "doc_id long, text_hash long, row long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, "
     "base array<struct<start:int,kind:int,end:int>>, "
-    "near array<struct<entity:long,context:long,term:string,start:int,end:int>>, entities array<long>, "
+    "near array<struct<entity:long,context:long,term:string>>, entities array<long>, "
     "words array<struct<term:string,at:array<struct<start:int,end:int>>>>, term string, docs long"
 )
 
@@ -76,43 +79,56 @@ def _eligible(word: str) -> bool:
     return len(word) >= LEAST_LETTERS or len(word) >= LEAST_OTHER and max(word) > chr(LATIN)
 
 
-def _around(text: str, start: int, end: int) -> list[re.Match]:
-    """Up to WINDOW whole words on either side, within REACH code points of the identifier."""
-    low, high = max(0, start - REACH), min(len(text), end + REACH)
-    before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or not low][-WINDOW:]
-    after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)][:WINDOW]
-    return [*before, *after]
+class Words:
+    """The words of a text outside its identifiers, which cut them; ``ordinal`` counts words and identifiers."""
 
+    def __init__(self, text: str, spans: list[tuple[int, int, int]]):
+        self.text = text
+        self.starts, self.ends, self.ordinal = array("q"), array("q"), array("q")
+        self.of_span = []
+        at = n = 0
+        for start, _, end in [*spans, (len(text), 0, len(text))]:
+            for m in _WORD.finditer(text, at, max(at, start)):
+                self.starts.append(m.start())
+                self.ends.append(m.end())
+                self.ordinal.append(n)
+                n += 1
+            n += start >= at  # an identifier inside the one before is no step
+            self.of_span.append(n - 1)
+            at = max(at, end)
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Terms in the window around each identifier, outside all of them."""
-    taken = [(s, e) for s, _, e in spans]
+    def __getitem__(self, i: int) -> str:
+        """A word as terms are written, the same way wherever it stands."""
+        return self.text[self.starts[i] : self.ends[i]].lower()
+
+    def eligible(self, i: int) -> bool:
+        return _eligible(self.text[self.starts[i] : self.ends[i]])
+
+    def around(self, span: int) -> range:
+        """Words at most WINDOW words or identifiers away from an identifier."""
+        n = self.of_span[span]
+        return range(bisect_left(self.ordinal, n - WINDOW), bisect_right(self.ordinal, n + WINDOW))
 
-    def clear(m: re.Match) -> bool:
-        return _eligible(m[0]) and not any(s < m.end() and m.start() < e for s, e in close)
 
+def contexts(text: str, spans: list[tuple[int, int, int]], words: Words | None = None) -> list[dict]:
+    """Terms in the window around each identifier, outside all of them."""
+    words = words or Words(text, spans)
     out = []
     for i, (start, kind, end) in enumerate(spans):
-        around = _around(text, start, end)
-        first, last = (around[0].start(), around[-1].end()) if around else (start, end)
-        close = [t for t in taken[max(0, i - REACH) : i + REACH] if t[0] < last and first < t[1]]
-        terms = [m for m in around if clear(m)]
+        around = [(words[k], words.eligible(k)) for k in words.around(i)]
         entity = _entity(text[start:end], KINDS[kind])
-        context = _hash(*(m[0].lower() for m in around))
-        out += [{"entity": entity, "context": context, "term": m[0].lower(), "start": m.start(), "end": m.end()} for m in terms]
+        context = _hash(*(w for w, _ in around))
+        out += [{"entity": entity, "context": context, "term": w} for w, eligible in around if eligible]
     return out
 
 
-def words_outside(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+def words_outside(text: str, spans: list[tuple[int, int, int]], words: Words | None = None) -> list[dict]:
     """Each term of a text with all its places outside the identifiers."""
+    words = words or Words(text, spans)
     places: dict[str, list[dict]] = {}
-    i, reached = 0, 0  # spans that begin before a word's end, and how far they reach
-    for m in _WORD.finditer(text):
-        while i < len(spans) and spans[i][0] < m.end():
-            reached = max(reached, spans[i][2])
-            i += 1
-        if m.start() >= reached and _eligible(m[0]):
-            places.setdefault(m[0].lower(), []).append({"start": m.start(), "end": m.end()})
+    for i in range(len(words.starts)):
+        if words.eligible(i):
+            places.setdefault(words[i], []).append({"start": words.starts[i], "end": words.ends[i]})
     return [{"term": t, "at": at} for t, at in places.items()]
 
 
@@ -138,16 +154,18 @@ def _found(docs: DataFrame) -> DataFrame:
                 row += 1
                 spans = base_spans(text)
                 kinds = [k for _, k, _ in spans]
+                words = Words(text, spans) if spans else None
+                outside = words_outside(text, spans, words) if spans else []
                 out.append({
                     "doc_id": doc_id, "text_hash": text_hash, "row": part + row,
                     **{f"n_{name}": kinds.count(i) for i, name in enumerate(KINDS)},
                     "base_sha256": hashlib.sha256(_listed(spans).encode()).hexdigest(),
                     "base": [{"start": s, "kind": k, "end": e} for s, k, e in spans],
-                    "near": contexts(text, spans) if spans else [],
+                    "near": contexts(text, spans, words) if spans else [],
                     "entities": sorted({_entity(text[s:e], KINDS[k]) for s, k, e in spans}),
-                    "words": words_outside(text, spans) if spans else [],
+                    "words": outside,
                 })
-                counts.update(set(_WORD.findall(text.lower())))
+                counts.update([w["term"] for w in outside] if spans else {w.lower() for w in set(_WORD.findall(text)) if _eligible(w)})
                 if len(counts) > TERMS_HELD:
                     yield counted()
                     counts.clear()
@@ -164,12 +182,20 @@ def _found(docs: DataFrame) -> DataFrame:
 def _together(found: DataFrame, pairs: DataFrame) -> DataFrame:
     """(row, entity, term): once for each document with both parts of one of ``pairs``, wherever they stand.
 
-    Goes from a document's words to its entities, so its rows grow with documents, not with how often a pair occurs.
+    For each identifier of a document the shorter list is gone through: the terms paired
+    with it, or the document's words.  So a long list of rare identifiers costs what is
+    paired with them, and a frequent identifier the words of its documents, never each
+    word with each identifier.
     """
-    listed = stage(pairs.select("term").distinct(), "listed")
-    words = found.where("size(words) > 0").select("row", "entities", F.explode("words.term").alias("term"))
-    both = words.join(listed.hint("merge"), "term").select("row", F.explode("entities").alias("entity"), "term")
-    return both.join(pairs.select("entity", "term").hint("merge"), ["entity", "term"])
+    sizes = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("paired"))
+    rows = found.where("size(entities) > 0")
+    held = rows.select("row", F.size("words").alias("n_words"), F.explode("entities").alias("entity")).join(sizes.hint("merge"), "entity")
+    words = rows.select("row", F.explode("words.term").alias("term"))
+    few = held.where("paired <= n_words").select("row", "entity").join(pairs.select("entity", "term").hint("merge"), "entity")
+    few = few.join(words.hint("merge"), ["row", "term"], "left_semi")
+    many = held.where("paired > n_words").select("row", "entity").join(words.hint("merge"), "row")
+    many = many.join(pairs.select("entity", "term").hint("merge"), ["entity", "term"], "left_semi")
+    return few.select("row", "entity", "term").unionByName(many.select("row", "entity", "term"))
 
 
 def disclosing_terms(found: DataFrame, generalise: float, remove: float, least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
@@ -249,11 +275,15 @@ def masked(text: str, spans: list) -> str:
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with its columns and the text masked; rows without spans, null ones too, stay as they are."""
+    """``docs`` with its columns and the text masked; rows without spans, null ones too, stay as they are.
+
+    Further columns keep their names and values, whatever they are called.
+    """
+    id_, hash_, found_ = free_names(docs, "id", "hash", "found")
     spans = find_spans(docs, **options).where("size(found) > 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("found").alias("_found")
-    ).dropDuplicates(["_id", "_hash"])
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("found").alias(found_)
+    ).dropDuplicates([id_, hash_])
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_))
 
     @F.pandas_udf("string")
     def mask(text: pd.Series, found: pd.Series) -> pd.Series:
@@ -261,7 +291,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
             None if f is None else masked(t, [(x["start"], x["kind"], x["end"], x["action"]) for x in f]) for t, f in zip(text, found)
         ])
 
-    joined = docs.join(spans, same, "left")
-    touched = F.when(F.col("_found").isNotNull(), docs["text"])  # other texts stay out of Python
-    new = F.coalesce(mask(touched, F.col("_found")), docs["text"])
+    joined = docs.join(spans.hint("merge"), same, "left")
+    touched = F.when(F.col(found_).isNotNull(), docs["text"])  # other texts stay out of Python
+    new = F.coalesce(mask(touched, F.col(found_)), docs["text"])
     return joined.select(*(new.alias(c) if c == "text" else docs[c] for c in docs.columns))

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wagelens.llm.columns import free_names
 from wagelens.llm.components import connected_components
 from wagelens.llm.forest import spanning_forest
 from wagelens.llm.staging import stage
@@ -184,14 +185,16 @@ def keep_one(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> Data
     """One row of each component, with the columns of ``docs``.
 
     It is the row of least doc_id, null last, and of several texts under that id the
-    one of least hash; of rows with equal id and text one stays.
+    one of least hash; of rows with equal id and text one stays.  Further columns keep
+    their names and values, whatever they are called.
     """
     own = F.col("doc_id").eqNullSafe(F.col("name.doc_id")) & (F.col("text_hash") == F.col("name.text_hash"))
     found = _named(docs, shingle_words, distance).where(own)
     keep = stage(found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    ids = keep.select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).hint("merge")  # grows with the documents: never broadcast
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    id_, hash_ = free_names(docs, "id", "hash")
+    ids = keep.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).hint("merge")  # grows with the documents: never broadcast
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_))
     kept = docs.join(ids, same, "left_semi")
     if keep.where("rows > 1").isEmpty():
         return kept
-    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return kept.withColumn(hash_, F.xxhash64("text")).dropDuplicates(["doc_id", hash_]).drop(hash_)
