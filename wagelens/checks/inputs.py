@@ -347,6 +347,19 @@ def _(spark, sf):
     return remote_pages(spark, sf).select("page_id", empty)
 
 
+@check("X7_displayed", sql("SELECT posting_id AS page_id, posting_id % 10 = 0 OR posting_id % 5 IN (0, 3) AS no_results FROM v_postings"))
+def _(spark, sf):
+    """Pages that say there is nothing in view, out of view, or not at all, whatever cards they have."""
+    said = [
+        "<div>No Results Found</div>", "<div hidden>No Results Found</div>",
+        '<section style="color: red; display: none"><p>x</p><div>No jobs found</div></section>',
+        '<p aria-hidden="true">a<b>b</b></p><div>No jobs found</div>', '<!-- <div>No jobs found</div> --><div class="hidden">No</div>',
+    ]
+    extra = F.element_at(F.array(*map(F.lit, said)), (F.col("page_id") % 5 + 1).cast("int"))
+    pages = remote_pages(spark, sf).withColumn("html", F.replace("html", F.lit('<ul class="pagination">'), F.concat(extra, F.lit("<ul>"))))
+    return pages.select("page_id", html.has_no_results(F.col("html"), html.REMOTE_BOARD).alias("no_results"))
+
+
 _A = r"regexp_extract_all(html, '(?s)(?:<li\b[^>]*>\s*)?<a\b[^>]*>.*?</a>')"
 
 

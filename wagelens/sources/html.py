@@ -1,20 +1,18 @@
 """Fetched result pages to posting rows.
 
-Two ways to find the cards of a page: patterns (built-in expressions, for cards
-that do not nest) and, for nested markup, a small standard-library parser run
-over Arrow batches.  Selectors are data, see ``BoardLayout``.
+Two ways to read a card: patterns, for fields without markup of their own kind
+inside, and balanced elements, for nested markup.  Both are built-in expressions,
+and both look at a character a bounded number of times: tags are matched up to the
+next bracket, and elements by splitting at the tags of their name and counting.
+Selectors are data, see ``BoardLayout``.
 """
 
 from __future__ import annotations
 
 import re
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +47,7 @@ def has_class(css_class: str) -> str:
 
 
 def opening_tag(css_class: str) -> str:
-    return rf"<\w+\b[^>]*{has_class(css_class)}"
-
-
-def element_of(css_class: str) -> str:
-    """Pattern of an element up to its first closing tag; group 2 is the content."""
-    return rf"(?s)<(\w+)\b[^>]*{has_class(css_class)}[^>]*>(.*?)</\1>"
+    return rf"<\w+\b[^<>]*{has_class(css_class)}"
 
 
 # Markers of the three boards' result pages.
@@ -104,12 +97,96 @@ ENTITIES = [
 
 def visible_text(markup: Column) -> Column:
     """Markup without tags, common entities resolved, trimmed; "" becomes NULL."""
-    plain = F.regexp_replace(markup, "<[^>]*>", "")
+    plain = F.regexp_replace(markup, "<[^<>]*>", "")
     for entity, char in ENTITIES:
         plain = F.replace(plain, F.lit(entity), F.lit(char))
     return F.nullif(strip(plain), F.lit(""))
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _from(markup: Column, pattern: str) -> Column:
+    """The markup from the first match of a pattern on, NULL without one."""
+    return F.get(F.split(F.concat(F.lit(" "), markup), f"(?={pattern})", 2), F.lit(1))
+
+
+def _tag_name(markup: Column) -> Column:
+    return F.regexp_extract(markup, r"^<(\w+)", 1)
+
+
+def _up_to_closing(markup: Column) -> Column:
+    """Content of the element that ``markup`` begins with, up to the first closing tag of its name; NULL without one."""
+
+    def content(m: Column) -> Column:
+        closing = F.concat(F.lit("</"), _tag_name(m), F.lit(">"))
+        return F.when(F.instr(m, closing) > 0, F.regexp_replace(F.call_function("substring_index", m, closing, F.lit(1)), "^<[^<>]*>", ""))
+
+    return _with(markup, content)
+
+
+# Elements without content.
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+
+
+def _named_tags(markup: Column, name: Column) -> Column:
+    """The markup cut before each opening or closing tag of a name."""
+    return F.split(markup, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")))
+
+
+def _closes_at(pieces: Column, depth: Column, first: Column) -> Column:
+    """Number of the piece, from 0, that takes the depth to 0, and the depth at the end: (at, depth); at is -1 if none does.
+
+    All pieces begin with a tag of the name, the first one if ``first``.
+    """
+
+    def step(acc: Column, piece: Column) -> Column:
+        counts = first | (acc["n"] > 0)
+        change = F.when(~counts | piece.rlike("^<[^<>]*/>"), 0).when(F.startswith(piece, F.lit("</")), -1).otherwise(1)
+        now = F.when(acc["at"] >= 0, acc["depth"]).otherwise(acc["depth"] + change)
+        ends = (acc["at"] < 0) & (now <= 0) & counts
+        return F.struct((acc["n"] + 1).alias("n"), now.alias("depth"), F.when(ends, acc["n"]).otherwise(acc["at"]).alias("at"))
+
+    start = F.struct(F.lit(0).alias("n"), depth.alias("depth"), F.lit(-1).alias("at"))
+    return F.aggregate(pieces, start, step)
+
+
+def balanced(markup: Column) -> Column:
+    """Content of the element that ``markup`` begins with, up to the closing tag that balances its name, or to the end."""
+
+    def content(m: Column) -> Column:
+        return _with(F.struct(m.alias("m"), _tag_name(m).alias("name")), of_name)
+
+    def of_name(x: Column) -> Column:
+        m, name = x["m"], x["name"]
+        head = F.call_function("substring_index", m, F.concat(F.lit("</"), name, F.lit(">")), F.lit(1))
+        low = F.lower(F.substr(head, F.lit(2)))
+        simple = (F.length(head) < F.length(m)) & ~m.rlike("^<[^<>]*/>") & (F.instr(low, F.concat(F.lit("<"), F.lower(name))) == 0) & (F.instr(low, F.concat(F.lit("</"), F.lower(name))) == 0)
+        whole = F.when(F.lower(name).isin(VOID_TAGS), F.lit(""))
+        # most elements hold none of their name: the first closing tag is theirs, and nothing need be counted
+        return whole.when(simple, F.regexp_replace(head, "^<[^<>]*>", "")).otherwise(_with(_named_tags(m, name), inside))
+
+    def inside(pieces: Column) -> Column:
+        return _with(_closes_at(pieces, F.lit(0), F.lit(True))["at"], lambda at: first(pieces, F.when(at < 0, F.size(pieces)).otherwise(at)))
+
+    def first(pieces: Column, n: Column) -> Column:
+        return F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), n), ""), "^<[^<>]*>", "")
+
+    return _with(markup, content)
+
+
+def without_comments(html: Column) -> Column:
+    """Markup without comments; one that is never closed reaches to the next opening of one."""
+
+    def rest(piece: Column, n: Column) -> Column:
+        closed = F.instr(piece, F.lit("-->"))
+        return F.when(n == 0, piece).when(closed > 0, F.substr(piece, closed + 3)).otherwise("")
+
+    return F.array_join(F.transform(F.split(html, "<!--"), rest), "")
+
+
 def cards_in(html: Column, layout: BoardLayout) -> Column:
     """The cards of a page as an array.
 
@@ -146,8 +223,10 @@ def salary_tag(tags: Column) -> Column:
 
 def tags_in(card: Column, css_class: str) -> Column:
     """Texts of all elements of a class, in page order."""
-    inner = F.regexp_extract_all(card, F.lit(element_of(css_class)), F.lit(2))
-    return F.transform(inner, lambda t: strip(F.regexp_replace(t, "<[^>]*>", "")))
+    start = opening_tag(css_class)
+    found = F.filter(F.split(card, f"(?={start})"), lambda piece: piece.rlike(f"^{start}"))
+    inner = F.filter(F.transform(found, _up_to_closing), lambda t: t.isNotNull())
+    return F.transform(inner, lambda t: strip(F.regexp_replace(t, "<[^<>]*>", "")))
 
 
 def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null: bool = False) -> DataFrame:
@@ -160,11 +239,11 @@ def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null
     card = F.col("card")
     fields = {}
     for name, css_class in layout.field_classes.items():
-        fields[name] = visible_text(F.regexp_extract(card, element_of(css_class), 2))
+        fields[name] = visible_text(_up_to_closing(_from(card, opening_tag(css_class))))
     if layout.card_class:
-        title_tag = F.regexp_extract(card, opening_tag(layout.field_classes["title"]) + "[^>]*>", 0)
+        title_tag = F.regexp_extract(card, opening_tag(layout.field_classes["title"]) + "[^<>]*>", 0)
         fields["url"] = F.nullif(F.regexp_extract(title_tag, r'\bhref="([^"]*)"', 1), F.lit(""))
-        fields["job_id"] = F.nullif(F.regexp_extract(card, r'^<\w+\b[^>]*\bid="([^"]*)"', 1), F.lit(""))
+        fields["job_id"] = F.nullif(F.regexp_extract(card, r'^<\w+\b[^<>]*\bid="([^"]*)"', 1), F.lit(""))
     for name, pattern in layout.field_patterns.items():
         raw = F.regexp_extract(card, pattern, 1)
         fields[name] = F.nullif(strip(raw), F.lit("")) if name in layout.attributes else visible_text(raw)
@@ -185,34 +264,98 @@ def quarantine(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cards.where(F.col("title").isNotNull()), cards.where(F.col("title").isNull())
 
 
+_ATTRIBUTE = r"""\s+[^\s=<>"'/]+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?"""
+_UNSEEN = r"(?:display\s*:\s*none|visibility\s*:\s*hidden)"
+#: an opening tag that hides its element by an attribute of its own
+HIDING_TAG = (
+    rf"(?i)<\w+(?:{_ATTRIBUTE})*?\s+(?:hidden(?=[\s=>/])|aria-hidden\s*=\s*[\"']?true|"
+    rf"style\s*=\s*(?:\"[^\"<>]*{_UNSEEN}|'[^'<>]*{_UNSEEN}))"
+)
+
+
+def shows(html: Column, pattern: str) -> Column:
+    """Does a pattern match outside of all hidden elements?
+
+    An element is hidden by ``hidden``, ``aria-hidden`` or an inline style of its own or
+    of an element around it.  Pieces between hiding tags are gone through in order; while
+    a hidden element is open, only what follows its balancing tag is looked at.
+    """
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens = (acc["depth"] == 0) & piece.rlike(f"^{HIDING_TAG}")
+        name = F.when(opens, _tag_name(piece)).otherwise(acc["name"])
+        return F.when((acc["depth"] == 0) & ~opens, after(acc["name"], F.lit(0), acc, piece)).otherwise(
+            _with(
+                F.struct(name.alias("name"), _named_tags(piece, name).alias("pieces"), (F.lower(_tag_name(piece)) == F.lower(name)).alias("first")),
+                lambda x: hidden(acc, x),
+            )
+        )
+
+    def hidden(acc: Column, x: Column) -> Column:
+        void = F.lower(x["name"]).isin(VOID_TAGS) & (acc["depth"] == 0)
+        pieces = x["pieces"]
+        return _with(
+            _closes_at(pieces, acc["depth"], x["first"]),
+            lambda end: after(
+                x["name"], F.when(void | (end["at"] >= 0), 0).otherwise(end["depth"]), acc,
+                F.when(void, F.array_join(pieces, "")).when(end["at"] < 0, "").otherwise(
+                    F.array_join(F.slice(pieces, end["at"] + 1, F.size(pieces)), "")
+                ),
+            ),
+        )
+
+    def after(name: Column, depth: Column, acc: Column, seen: Column) -> Column:
+        return F.struct(name.alias("name"), depth.cast("int").alias("depth"), (acc["found"] | seen.rlike(pattern)).alias("found"))
+
+    start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(False).alias("found"))
+    return F.aggregate(F.split(without_comments(html), f"(?={HIDING_TAG})"), start, step)["found"]
+
+
 def has_no_results(html: Column, layout: BoardLayout) -> Column:
-    """An empty-result text in a div, or no card at all.
+    """An empty-result text displayed in a div, or no card at all.
 
-    Whether the text is displayed cannot be told from the markup.
+    What style sheets and scripts hide cannot be told from the markup.
     """
     texts = "|".join(re.escape(t) for t in rules.NO_RESULT_TEXTS)
-    said = html.rlike(rf"(?s)<div\b[^>]*>[^<]*({texts})")
+    said = shows(html, rf"<div\b[^<>]*>[^<]*({texts})")
     return said | ~html.rlike(layout.card_pattern or opening_tag(layout.card_class))
 
 
 # Markers of a link to the next page.
 NEXT_LABEL = "Next Page"
 NEXT_CLASSES = ["usajobs-search-pagination__next-page-link", "pagination-next"]
-ANCHOR = r"(?s)(?:<li\b[^>]*>\s*)?<a\b[^>]*>.*?</a>"
+
+
+def anchors_in(html: Column) -> Column:
+    """Links in page order: (a, item), the markup from its opening tag to its closing one, and a list item's tag right before.
+
+    A link without a closing tag, or with the next link opened before it, is none.
+    """
+
+    def links(pieces: Column) -> Column:
+        return F.filter(F.transform(pieces, lambda piece, n: link(piece, F.get(pieces, n - 1))), lambda x: x["a"].isNotNull())
+
+    def link(piece: Column, before: Column) -> Column:
+        whole = F.concat(F.substring_index(piece, "</a>", 1), F.lit("</a>"))
+        return F.struct(
+            F.when(piece.rlike(r"^<a\b[^<>]*>") & (F.instr(piece, F.lit("</a>")) > 0), whole).alias("a"),
+            F.regexp_extract(F.coalesce(before, F.lit("")), r"<li\b[^<>]*>\s*$", 0).alias("item"),
+        )
+
+    return _with(F.split(html, r"(?=<a\b)"), links)
 
 
 def page_links(df: DataFrame, page: str, html: str) -> DataFrame:
     """All links of a page: position, address, text, and the next-page marks."""
-    anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
-    rows = df.select(page, F.posexplode(anchors).alias("link_no", "a"))
+    rows = df.select(page, F.posexplode(anchors_in(F.col(html))).alias("link_no", "_link")).select(page, "link_no", "_link.a", "_link.item")
     a = F.col("a")
     rows = rows.withColumns(
         {
-            "href": F.regexp_extract(a, r'<a\b[^>]*\bhref="([^"]*)"', 1),
-            "text": F.coalesce(visible_text(F.regexp_extract(a, r"(?s)<a\b[^>]*>(.*?)</a>", 1)), F.lit("")),
-            "_class": F.regexp_extract(a, r'<a\b[^>]*\bclass="([^"]*)"', 1),
-            "_label": F.regexp_extract(a, r'<a\b[^>]*\baria-label="([^"]*)"', 1),
-            "_item": F.regexp_extract(a, r'^<li\b[^>]*\bclass="([^"]*)"', 1),
+            "href": F.regexp_extract(a, r'^<a\b[^<>]*\bhref="([^"]*)"', 1),
+            "text": F.coalesce(visible_text(F.regexp_replace(a, "^<[^<>]*>", "")), F.lit("")),
+            "_class": F.regexp_extract(a, r'^<a\b[^<>]*\bclass="([^"]*)"', 1),
+            "_label": F.regexp_extract(a, r'^<a\b[^<>]*\baria-label="([^"]*)"', 1),
+            "_item": F.regexp_extract("item", r'^<li\b[^<>]*\bclass="([^"]*)"', 1),
         }
     )
     marked = (F.col("_label") == NEXT_LABEL) | any_of(F.col("_class"), NEXT_CLASSES)
@@ -243,70 +386,27 @@ def next_links(links: DataFrame, page: str) -> DataFrame:
 
 # ---- nested markup -------------------------------------------------------
 
-VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-
-class _CardReader(HTMLParser):
-    """Collects the text and link of marked elements inside marked cards."""
-
-    def __init__(self, card_class: str, field_classes: dict[str, str]):
-        super().__init__(convert_charrefs=True)
-        self.card_class, self.field_classes = card_class, field_classes
-        self.open: list[tuple[str, str | None]] = []
-        self.cards: list[dict[str, str]] = []
-
-    def _inside_card(self) -> bool:
-        return any(mark == "card" for _, mark in self.open)
-
-    def handle_starttag(self, tag, attrs):
-        given = {k: v or "" for k, v in attrs}
-        classes = given.get("class", "").split()
-        mark = None
-        if self.card_class in classes:
-            mark = "card"
-            self.cards.append({"job_id": given.get("id", "")})
-        elif self._inside_card():
-            mark = next((f for f, c in self.field_classes.items() if c in classes), None)
-            if mark is not None and mark in self.cards[-1]:
-                mark = None
-            if mark is not None:
-                self.cards[-1][mark] = ""
-                if "href" in given:
-                    self.cards[-1].setdefault("url", given["href"])
-        if tag not in VOID_TAGS:
-            self.open.append((tag, mark))
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
-
-    def handle_data(self, data):
-        for _, mark in self.open:
-            if mark not in (None, "card"):
-                self.cards[-1][mark] += data
-
-
 def extract_nested_cards(df: DataFrame, page: str, html: str, layout: BoardLayout) -> DataFrame:
-    """Posting rows where cards hold nested markup; whole pages, batch by batch."""
-    names = ["job_id", "url", *layout.field_classes]
-    page_type = dict(df.dtypes)[page]
-    card_class, field_classes, limit = layout.card_class, dict(layout.field_classes), layout.cards_per_page
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, markup in zip(batch[page], batch[html]):
-                reader = _CardReader(card_class, field_classes)
-                reader.feed(markup or "")
-                for no, card in enumerate(reader.cards[:limit]):
-                    rows.append((key, no, *[card.get(n, "").strip() or None for n in names]))
-            yield pd.DataFrame(rows, columns=[page, "card_no", *names])
-
-    schema = f"{page} {page_type}, card_no int, " + ", ".join(f"{n} string" for n in names)
-    return df.select(page, html).mapInPandas(read, schema)
-
-
-# tasks get these functions with the job, so workers need no installed package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    """Posting rows where cards hold nested markup: (page, card_no, job_id, url, fields).
+
+    A card and a field reach to the closing tag that balances their own name; without one
+    a field reaches to the end of its card, a card to the next card or the end of the page.
+    What follows a card belongs to none, nor do comments.  Of several elements of a field's
+    class the first counts; the address is that of the first field with a link.
+    """
+    pages = df.select(page, without_comments(F.col(html)).alias("_html"))
+    cards = split_cards(pages, "_html", layout).withColumn("_inner", balanced(F.col("card")))
+    names = list(layout.field_classes)
+    found = cards.select(
+        page, "card_no", F.regexp_extract("card", r'^<\w+\b[^<>]*\bid="([^"]*)"', 1).alias("_id"),
+        *(_from(F.col("_inner"), opening_tag(c)).alias(f"_{f}") for f, c in layout.field_classes.items()),
+    )
+    link = [
+        F.struct((-F.length(f"_{f}")).alias("at"), F.nullif(F.regexp_extract(f"_{f}", r'^<[^<>]*\bhref="([^"]*)"', 1), F.lit("")).alias("href"))
+        for f in names
+    ]
+    links = F.filter(F.array(*link), lambda x: x["href"].isNotNull())  # what is longer begins earlier
+    return found.select(
+        page, "card_no", F.nullif(strip(F.col("_id")), F.lit("")).alias("job_id"), strip(F.array_min(links)["href"]).alias("url"),
+        *(visible_text(balanced(F.col(f"_{f}"))).alias(f) for f in names),
+    )
