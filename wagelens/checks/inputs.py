@@ -217,6 +217,40 @@ def _(spark, sf):
     return dedup.across_sources(df, "snapshot", "seq").select("posting_id", "url", "title", "snapshot")
 
 
+_BOARDS = """v_boards AS (
+  SELECT posting_id, 0 AS board, url, title, company, location, salary, snapshot || '-0' AS snapshot FROM v_postings
+  UNION ALL SELECT posting_id, 1, NULL, title, company, location, salary, snapshot || '-1' FROM v_postings WHERE posting_id % 3 = 0
+  UNION ALL SELECT posting_id, 2, 'https://other.example/' || (posting_id % 50), title, company, location, salary, snapshot || '-2' FROM v_postings WHERE posting_id % 40 = 0)"""
+_LINKED = """v_keys AS (
+  SELECT *, 'a' || url AS a, CASE WHEN coalesce(title, company, location, salary) IS NOT NULL THEN 'c' || to_json([title, company, location, salary]) END AS b FROM v_boards),
+v_edges AS (SELECT DISTINCT a, b FROM v_keys WHERE a IS NOT NULL AND b IS NOT NULL),
+v_both AS (SELECT a AS x, b AS y FROM v_edges UNION SELECT b, a FROM v_edges),
+v_reach(x, y) AS (SELECT x, x FROM v_both UNION SELECT r.x, e.y FROM v_reach r JOIN v_both e ON e.x = r.y),
+v_roots AS (SELECT x, min(y) AS root FROM v_reach GROUP BY 1)"""
+
+
+@check(
+    "D2_linked_sources",
+    sql(
+        "SELECT posting_id, CAST(board AS INT) AS board, url, snapshot FROM v_keys LEFT JOIN v_roots ON x = coalesce(a, b) "
+        "QUALIFY row_number() OVER (PARTITION BY coalesce(root, a, b) ORDER BY snapshot DESC, posting_id DESC) = 1",
+        _BOARDS, _LINKED,
+    ).replace("WITH", "WITH RECURSIVE", 1),
+)
+def _(spark, sf):
+    """Postings of one board, copies without an address on a second, a third with addresses of its own."""
+    rows = postings(spark, sf).select("posting_id", "url", "title", "company", "location", "salary", "snapshot")
+
+    def board(number, url, where="true"):
+        of = rows.where(where).withColumns({"board": F.lit(number), "url": url, "snapshot": F.concat("snapshot", F.lit(f"-{number}"))})
+        return of.select("posting_id", "board", "url", "title", "company", "location", "salary", "snapshot")
+
+    other = F.concat(F.lit("https://other.example/"), (F.col("posting_id") % 50).cast("string"))
+    every = board(0, F.col("url")).unionByName(board(1, F.lit(None).cast("string"), "posting_id % 3 = 0"))
+    every = every.unionByName(board(2, other, "posting_id % 40 = 0"))
+    return dedup.linked_across_sources(every, "snapshot", "posting_id").select("posting_id", "board", "url", "snapshot")
+
+
 @check("D3_streaming_first_seen", _FIRST)
 def _(spark, sf):
     """The events arrive in three files, the later days first, and a closing row."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.functions.keys import posting_key
+from wagelens.operators.components import connected
 
 
 def _one_per_key(df: DataFrame, key: Column, order: Column, latest: bool) -> DataFrame:
@@ -36,3 +37,32 @@ def across_sources(
     return _one_per_key(df, key, F.struct(snapshot, seq), latest=True)
 
 
+
+
+def linked_across_sources(
+    df: DataFrame,
+    snapshot: str,
+    seq: str,
+    url: str = "url",
+    identity: tuple[str, ...] = ("title", "company", "location", "salary"),
+) -> DataFrame:
+    """The newest row of every posting, where either an address or equal content makes rows one posting.
+
+    Rows with one address are one posting, rows with one content too, and so on from row to
+    row: a copy without an address meets the one that has it, also if an edit of that one
+    came between.  Content is the ``identity`` columns as they are; a row whose ``identity``
+    is all null has none, and one with neither address nor content is a posting of its own.
+    ``seq`` must order the rows of a snapshot fully.
+    """
+    fields = [F.col(c) for c in identity if c in df.columns]
+    content = F.when(F.coalesce(*fields).isNotNull(), F.concat(F.lit("c"), F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)))
+    address = F.concat(F.lit("a"), F.col(url))
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), address.alias("a"), content.alias("b"))
+    roots = connected(keyed.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL"))
+    own = F.coalesce("a", "b")
+    alone = F.concat(F.lit("r"), F.to_json(F.struct(F.col(f"row.{snapshot}"), F.col(f"row.{seq}"))))
+    # one row a key on the right: a frequent key is split
+    joined = keyed.withColumn("key", own).join(roots.select(F.col("node").alias("key"), "root").hint("merge"), "key", "left")
+    name = F.coalesce("root", "key", alone)
+    order = F.struct(F.col(f"row.{snapshot}"), F.col(f"row.{seq}"))
+    return joined.groupBy(name.alias("name")).agg(F.max_by("row", order).alias("row")).select("row.*")
