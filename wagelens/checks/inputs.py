@@ -139,6 +139,27 @@ def _(spark, sf):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+@check(
+    "S7_changes",
+    sql("""
+SELECT '20240101' AS run, posting_id, salary, '20240101' AS stored FROM v_postings WHERE posting_id % 10 <> 0
+UNION ALL SELECT '20240102', posting_id, CASE WHEN posting_id % 7 = 0 THEN 'on request' ELSE salary END,
+  CASE WHEN posting_id % 10 = 0 OR posting_id % 7 = 0 THEN '20240102' ELSE '20240101' END FROM v_postings"""),
+)
+def _(spark, sf):
+    """Two runs, the second with new and changed postings and written twice; both are rebuilt."""
+    rows = postings(spark, sf).select("posting_id", "title", "salary")
+    path = scratch_path(spark, "changes")
+    later = rows.withColumn("salary", F.when(F.col("posting_id") % 7 == 0, "on request").otherwise(F.col("salary")))
+    for run, df in (("20240101", rows.where("posting_id % 10 <> 0")), ("20240102", later.limit(0)), ("20240102", later)):
+        tables.write_changes(df, path, run)
+    stored = spark.read.parquet(f"{path}/rows").select(F.col("run_ts").cast("string").alias("stored"), "row.posting_id", "row.salary")
+    runs = [tables.read_run(spark, path, run).withColumn("run", F.lit(run)) for run in ("20240101", "20240102")]
+    every, s = runs[0].unionByName(runs[1]), stored.alias("s")
+    same = (every["posting_id"] == F.col("s.posting_id")) & every["salary"].eqNullSafe(F.col("s.salary"))
+    return every.join(s, same).select("run", every["posting_id"], every["salary"], "stored")
+
+
 def _feed(spark, sf):
     schema = table(spark, sf, "events").schema
     return feeds.read_feed(spark, sf, schema, "events.parquet")

@@ -179,6 +179,23 @@ def _(spark, sf):
     return rounded(curve.select("point", "x", "n_scaled"), ["x", "n_scaled"])
 
 
+@check(
+    "G12_density_binned",
+    """
+WITH v AS (SELECT l_extendedprice AS y FROM lineitem),
+s AS (SELECT count(y) AS m, min(y) AS lo, max(y) AS hi, stddev_samp(y) * pow(count(y), -0.2) AS h, (max(y) - min(y)) / 4096 AS d FROM v),
+t AS (SELECT (y - lo) / d AS t FROM v, s),
+c AS (SELECT least(floor(t), 4095) AS c, count(*) AS w, sum(t - least(floor(t), 4095)) AS r FROM t GROUP BY 1),
+e AS (SELECT c AS a, w - r AS w FROM c UNION ALL SELECT c + 1, r FROM c)
+SELECT CAST(g AS INT) AS point, round(lo + (hi - lo) / 199 * g, 6) AS x,
+  round(sum(w * exp(-0.5 * pow((lo + (hi - lo) / 199 * g - (lo + d * a)) / h, 2))) / (h * sqrt(2 * pi())) * (hi - lo) / 30, 4) AS n_scaled
+FROM e, range(200) r(g), s GROUP BY g, lo, hi, h, d""",
+)
+def _(spark, sf):
+    curve = stats.binned_density(table(spark, sf, "lineitem").select("l_extendedprice"), "l_extendedprice")
+    return curve.select("point", F.round("x", 6).alias("x"), F.round("n_scaled", 4).alias("n_scaled"))
+
+
 _COLS = ["l_quantity", "l_extendedprice", "l_discount", "flat"]
 _CORR = " UNION ALL ".join(
     f"SELECT {lit(a)} AS x, {lit(b)} AS y, "

@@ -6,6 +6,8 @@ through a join or the driver.
 
 from __future__ import annotations
 
+import math
+
 import itertools
 
 from pyspark.sql import Column, DataFrame, Window
@@ -216,6 +218,46 @@ def density(
     )
 
 
+#: half the largest second derivative of the normal curve, over 4: linear interpolation is off by this times (cell / bandwidth)^2 at most
+_INTERPOLATION = 1 / (8 * math.sqrt(2 * math.pi))
+
+
+def binned_density(
+    df: DataFrame, value: str, points: int = rules.DENSITY_POINTS, bins: int = rules.HISTOGRAM_BINS, cells: int = 4096
+) -> DataFrame:
+    """``density`` from sums per cell: the same columns and ``error_bound``.
+
+    Each value is shared between the two ends of its cell, in proportion to its place in
+    it, so the curve at a point is interpolated within cells and off by ``error_bound`` at
+    most, on the scale of ``density``.  The cost of the curve depends on ``points`` and
+    ``cells`` alone; a task sends two sums a cell.  Rows without a value count nowhere; a
+    column of one distinct value, or of one row, has no bandwidth and gives no rows.
+    """
+    x = F.col(value).cast("double")
+    base = df.agg(
+        F.count(value).cast("double").alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("a"), F.max(x).alias("b")
+    ).withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)))
+    p = base.select(F.struct("n", "h", "a", "b", ((F.col("b") - F.col("a")) / F.lit(float(cells))).alias("d"))).scalar()
+    place = df.where(x.isNotNull()).select(F.try_divide(x - p["a"], p["d"]).alias("t")).where("t IS NOT NULL")
+    cell = F.least(F.floor("t"), F.lit(cells - 1).cast("long"))
+    sums = place.select(cell.alias("cell"), (F.col("t") - cell).alias("right")).groupBy("cell").agg(
+        F.count(F.lit(1)).cast("double").alias("w"), F.sum("right").alias("right")
+    )
+    ends = sums.select(F.explode(F.array(
+        F.struct(F.col("cell").alias("at"), (F.col("w") - F.col("right")).alias("w")),
+        F.struct((F.col("cell") + 1).alias("at"), F.col("right").alias("w")),
+    )).alias("e")).select("e.*")
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    at = p["a"] + (p["b"] - p["a"]) / F.lit(float(points - 1)) * F.col("point")
+    z = (at - (p["a"] + p["d"] * F.col("at"))) / p["h"]
+    curve = ends.select("at", "w", grid.alias("point")).groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("k"))
+    dens = F.try_divide(F.col("k"), p["n"] * p["h"] * F.sqrt(F.lit(2.0) * F.pi()))
+    return curve.select(
+        "point", at.alias("x"), dens.alias("density"), (dens * p["n"] * (p["b"] - p["a"]) / F.lit(float(bins))).alias("n_scaled"),
+        (F.lit(_INTERPOLATION) * p["d"] * p["d"] / (p["h"] * p["h"] * p["h"])).alias("error_bound"),
+    )
+
+
 # ---- correlation ---------------------------------------------------------
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
