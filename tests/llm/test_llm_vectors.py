@@ -66,6 +66,16 @@ def test_bounds_never_lose_a_winner():
             assert score[i == row].tolist() == [int(exact[row, x]) for x in order]
 
 
+def test_rows_under_one_id(spark):
+    """Different vectors of one id are candidates of each other and queries of their own; equal rows are one."""
+    rows = [(0, [1.0, 0.0], 1), (1, [5.0, 0.0], 1), (1, [3.0, 1.0], 1), (1, [3.0, 1.0], 1), (20, [0.0, 1.0], 1), (20, [2.0, 2.0], 1)]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score // 4096) for r in topk.search_every(frame(spark, rows), k=3).collect())
+    assert got == sorted([
+        (0, 1, 1, 5), (0, 2, 1, 3), (0, 3, 20, 2),
+        (20, 1, 20, 2), (20, 2, 1, 1), (20, 3, 0, 0), (20, 1, 1, 10), (20, 2, 1, 8), (20, 3, 0, 2),
+    ])
+
+
 def test_few_empty_and_ragged(spark):
     assert topk.search_every(frame(spark, [])).count() == 0
     two = topk.search_every(frame(spark, [(0, [1.0, 2.0], 1), (1, [0.5], 1), (3, [], 1)])).collect()

@@ -161,13 +161,13 @@ _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS N
 
 OP9 = f"""
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS e
-  FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE} GROUP BY vec_id),
+  SELECT *, row_number() OVER () AS row_no FROM (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE})),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+  SELECT q.row_no, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.row_no <> q.row_no WHERE q.vec_id % 20 = 0)
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+WINDOW w AS (PARTITION BY row_no ORDER BY score DESC, vec_id) QUALIFY rank <= 20
 """
 
 OP10 = f"""

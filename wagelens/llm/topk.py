@@ -28,10 +28,10 @@ LONG = 2**63 - 1
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * component) as longs, one vector per id (of several the least)."""
+    """(vec_id, v): floor(scale * component) as longs; equal rows are one."""
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     rows = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")).distinct()
 
 
 def _tail_norms(m: np.ndarray, edges: list[int]) -> list[np.ndarray]:
@@ -39,13 +39,19 @@ def _tail_norms(m: np.ndarray, edges: list[int]) -> list[np.ndarray]:
     return [np.sqrt(squares[:, e:].sum(axis=1)) for e in edges[1:]]
 
 
-def best_in_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) with each query's k best; ties to smaller ids; never its own id."""
+def best_in_tile(
+    q_rows: np.ndarray, q: np.ndarray, c_rows: np.ndarray, c: np.ndarray, k: int, c_ids: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of query, place of candidate, score) with each query's k best; ties to smaller ids; never its own row.
+
+    Rows are named by number; the ids of candidates are those numbers if not given.
+    """
+    c_ids = c_rows if c_ids is None else c_ids
     width = q.shape[1]
     most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(width, 1)
     if most >= 2**53:  # beyond exact floating point: whole numbers throughout
         scores = np.clip(q.astype(object) @ c.astype(object).T, -LONG, LONG).astype(np.int64)
-        i, j = np.nonzero(q_ids[:, None] != c_ids[None, :])
+        i, j = np.nonzero(q_rows[:, None] != c_rows[None, :])
         return _ranked(i, j, scores[i, j], c_ids, k)
     kind = np.float32 if most < 2**24 else np.float64  # sums stay exact
     heavy = np.argsort(-(c.astype(np.float64) ** 2).sum(axis=0), kind="stable")
@@ -57,7 +63,7 @@ def best_in_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     for at in range(0, len(q), QUERIES_AT_ONCE):
         own = slice(at, at + QUERIES_AT_ONCE)
         seeds = q[own] @ columns[:, :SEEDS]
-        seeds[q_ids[own, None] == c_ids[None, :SEEDS]] = -np.inf
+        seeds[q_rows[own, None] == c_rows[None, :SEEDS]] = -np.inf
         floor = np.partition(seeds, -k, axis=1)[:, -k] if seeds.shape[1] > k else np.full(len(seeds), -np.inf)
         alive = np.arange(len(rows))
         part = np.zeros((len(seeds), len(rows)), kind)
@@ -77,7 +83,7 @@ def best_in_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
             if keep.mean() < FEW_COLUMNS:
                 alive, part = alive[keep], part[:, keep]
         j = alive[j]
-        other = q_ids[own][i] != c_ids[j]
+        other = q_rows[own][i] != c_rows[j]
         i, j, score = _ranked(i[other], j[other], np.rint(score[other]).astype(np.int64), c_ids, k)
         found.append((i + at, j, score))
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -94,32 +100,34 @@ def _ranked(i: np.ndarray, j: np.ndarray, score: np.ndarray, c_ids: np.ndarray,
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """The k candidates of largest inner product for each query: query_id, rank, vec_id, score.
 
-    Both inputs are (vec_id, v) with whole numbers, one row per id.  A query's own id
-    is no candidate of it.  Ties go to the smaller id; fewer candidates than k give
-    fewer rows.  Vectors of different length are compared as if filled with zeros.
+    Both inputs are (row, vec_id, v), written, with whole numbers; ``row`` names a row
+    and is the same in both.  A query's own row is no candidate of it, others under its
+    id are.  Ties go to the smaller id; fewer candidates than k give fewer rows; each
+    query row has its own ranks.  Vectors of different length are compared as if filled
+    with zeros.
     """
     ship_package(vectors.sparkSession)
-    vectors, queries = stage(vectors, "candidates"), stage(queries, "queries")
     c_tiles = max(1, math.ceil(vectors.count() / CANDIDATE_TILE))
     q_tiles = max(1, math.ceil(queries.count() / QUERY_TILE))
 
     def tile(n: int):
-        return F.pmod(F.xxhash64(F.lit("tile"), "vec_id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64(F.lit("tile"), "row"), F.lit(n)).cast("int")
 
-    left = vectors.select("vec_id", "v", tile(c_tiles).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_tiles - 1))).alias("q"))
-    right = queries.select("vec_id", "v", tile(q_tiles).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(c_tiles - 1))).alias("c"))
-    kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    left = vectors.select("row", "vec_id", "v", tile(c_tiles).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_tiles - 1))).alias("q"))
+    right = queries.select("row", "vec_id", "v", tile(q_tiles).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(c_tiles - 1))).alias("c"))
+    kind = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def search(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
             return kind.empty_table()
         c_ids, q_ids = c["vec_id"].to_numpy(), q["vec_id"].to_numpy()
+        c_rows, q_rows = c["row"].to_numpy(), q["row"].to_numpy()
         width = width_of(c["v"], q["v"])
-        i, j, score = best_in_tile(q_ids, matrix(q["v"], width), c_ids, matrix(c["v"], width), k)
-        return pa.Table.from_arrays([pa.array(q_ids[i]), pa.array(c_ids[j]), pa.array(score)], schema=kind)
+        i, j, score = best_in_tile(q_rows, matrix(q["v"], width), c_rows, matrix(c["v"], width), k, c_ids)
+        return pa.Table.from_arrays([pa.array(q_rows[i]), pa.array(q_ids[i]), pa.array(c_ids[j]), pa.array(score)], schema=kind)
 
-    found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(search, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -128,9 +136,9 @@ def search_every(vectors: DataFrame, every: int = 20, k: int = 20, scale: int =
     """Search with the vectors whose id is divisible by ``every`` among all.
 
     Vectors that are null or hold null, NaN or infinite components take no part, nor
-    do rows without an id.  Repeated rows are one vector; of different vectors under
-    one id the least counts.  An empty table gives no rows; only vec_id and embedding
-    are read.
+    do rows without an id.  Repeated rows are one; different vectors under one id are
+    rows of their own, as queries and as candidates.  An empty table gives no rows; only
+    vec_id and embedding are read.
     """
-    whole = stage(quantised(vectors, scale), "quantised")
+    whole = stage(quantised(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "quantised")
     return top_k(whole, whole.where(F.col("vec_id") % every == 0), k)
