@@ -109,6 +109,31 @@ def test_few_rows_get_a_status_and_no_numbers(spark, small):
     assert [(r["skill"], r["importance"], r["status"]) for r in rows] == [(None, None, "insufficient_data")]
 
 
+def test_roles_of_one_fit_are_apart(spark):
+    # in each role another skill decides the salary
+    data = []
+    for role, skill, other in (("data scientist", "go", "sql"), ("devops engineer", "sql", "go")):
+        for i in range(80):
+            named = ([skill] if i % 2 else []) + ([other] if i % 3 else [])
+            data.append((f"{role}{i}", i, role, "p", "c", named, "matched", "observed", 50.0 + 100 * (i % 2)))
+    df = spark.createDataFrame(data, "url string, seq int, standardized_title string, standardized_location string, company string, "
+                               "skills array<string>, skill_origin string, salary_origin string, annual_salary double")
+    got = {(r["role"], r["skill"]): (r["importance"], r["rank"]) for r in models.skill_importance_by_role(df, "url", "seq", TINY).collect()}
+    assert got == {("data scientist", "go"): (pytest.approx(1.0), 1), ("data scientist", "sql"): (0.0, 2),
+                   ("devops engineer", "sql"): (pytest.approx(1.0), 1), ("devops engineer", "go"): (0.0, 2)}
+
+
+def test_deep_forest_scores_all_rows_and_learns_what_decides(spark):
+    data = [(f"k{i}", "train" if i % 5 else "test", ["go"] if i % 3 == 0 else ["sql"] if i % 2 else [], float(50 + 100 * (i % 3 == 0)), "t", f"p{i % 2}") for i in range(120)]
+    df = spark.createDataFrame(data, "model_key string, split string, skills array<string>, y double, standardized_title string, standardized_location string")
+    rows, importances = models.fit_deep_forest(df, TINY)
+    assert rows.columns == [*df.columns, "yhat"]
+    got = rows.collect()
+    assert len(got) == 120 and all(r["yhat"] == pytest.approx(r["y"]) for r in got)
+    best = models.item_importance_table(importances).where("rank = 1").first()
+    assert (best["feature"], best["skill"]) == ("skill=go", "go")
+
+
 def test_r2_is_not_the_squared_correlation(spark):
     df = spark.createDataFrame([("m", "s", float(y), float(y + 1)) for y in range(4)], "model string, split string, y double, yhat double")
     got = {r["metric"]: r["value"] for r in regress.regression_metrics(df).collect()}

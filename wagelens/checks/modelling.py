@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from wagelens.checks.base import SPLIT_SQL, SUM, check, lit, skilled, sql, sql_mean, table
-from wagelens.operators import models, regress, sampling, skills
+from wagelens.operators import models, regress, sampling, skills, trees
 from wagelens import rules
 
 _FITS: dict[tuple, object] = {}
@@ -165,6 +165,34 @@ def _(spark, sf):
     return regress.regression_metrics(models.scored(forest(spark, sf), rows_for(spark, sf, models.MARKET)))
 
 
+def deep(spark, sf, settings, name):
+    return kept(spark, sf, name, lambda: models.fit_deep_forest(rows_for(spark, sf, settings), settings))
+
+
+@check("M5_deep_forest")
+def _(spark, sf):
+    rows, _ = deep(spark, sf, models.MARKET, "deep_forest")
+    return regress.regression_metrics(rows.withColumn("model", F.lit("deep_forest")))
+
+
+# a tree grown to purity gives a train row the mean of the train rows with its features
+_SET = "standardized_title, standardized_location, company, list_sort(list_distinct(skills))"
+
+
+@check(
+    "M5_tree_to_purity",
+    sql(f"SELECT posting_id, round(avg(y) OVER (PARTITION BY {_SET}), 4) AS yhat FROM v_rows WHERE split = 'train'", _MODEL_ROWS),
+)
+def _(spark, sf):
+    postings = skilled(spark, sf)
+    rows = models.training_rows(postings, "posting_id", models.MARKET).drop("split")
+    sides = regress.with_split(postings, "url").select(F.col("posting_id").alias("model_key"), "split")
+    prepared = models.item_rows(rows.join(sides, "model_key"), models.categories_of(models.MARKET))
+    forest = trees.fit_forest(prepared, trees=1, bootstrap=False)
+    scored = trees.score_rows(prepared.where("train"), forest)
+    return scored.select(F.col("model_key").alias("posting_id"), F.round("yhat", 4).alias("yhat"))
+
+
 @check("M6_boosting")
 def _(spark, sf):
     return regress.regression_metrics(models.scored(boosting(spark, sf), rows_for(spark, sf, models.MARKET)))
@@ -172,8 +200,8 @@ def _(spark, sf):
 
 @check("M7_selected_features")
 def _(spark, sf):
-    fitted = forest(spark, sf, LIGHT, "forest_light")
-    return models.importance_table(spark, fitted)
+    _, importances = deep(spark, sf, models.US_MARKET, "deep_us_forest")
+    return models.item_importance_table(importances)
 
 
 def all_scores(spark, sf):
@@ -211,8 +239,7 @@ def _(spark, sf):
 
 
 def role_importances(spark, sf):
-    settings = models.Settings(forest_trees=20, forest_depth=6)
-    return kept(spark, sf, "by_role", lambda: models.skill_importance_by_role(skilled(spark, sf), "url", "seq", settings))
+    return kept(spark, sf, "by_role", lambda: models.skill_importance_by_role(skilled(spark, sf), "url", "seq", models.MARKET))
 
 
 @check("M11_skill_importance_by_role")

@@ -9,12 +9,12 @@ from pyspark.ml.feature import (
     FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens import rules
 from wagelens.functions.keys import fold_of
-from wagelens.operators import regress, skills, stats
+from wagelens.operators import regress, skills, stats, trees
 from wagelens.operators.clean import drop_null_target
 from wagelens.session import ensure_checkpoint_dir
 
@@ -26,8 +26,8 @@ HASH_SLOTS = 1 << 14
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of the models.  Depth is bounded: a forest grown to purity would
-    not fit the driver on large data."""
+    """Sizes of the models.  ``forest_depth`` bounds the forests of Spark ML, whose trees are
+    held by the driver; ``fit_deep_forest`` and the importances by role grow to purity."""
 
     forest_trees: int = 200
     boost_rounds: int = 200
@@ -258,12 +258,41 @@ def importance_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, skill string, importance double, rank int")
 
 
+def item_rows(rows: DataFrame, categories: list[str], group: Column | None = None) -> DataFrame:
+    """Training rows as ``trees.fit_forest`` takes them, with their other columns."""
+    items = trees.feature_items(categories, {"skill": "skills"})
+    train = F.col("split") == "train"
+    return rows.select(
+        "*", (F.lit("all") if group is None else group).alias("grp"), items.alias("items"), F.col("model_key").alias("key"), train.alias("train")
+    )
+
+
+def fit_deep_forest(rows: DataFrame, settings: Settings, seed: int = rules.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+    """A forest without a bound on depth: (rows with ``yhat``, importances).
+
+    Grown on the train rows; all others are scored.  Where the settings ask for it, features less important
+    than the average in a first forest are left out.
+    """
+    prepared = item_rows(rows, categories_of(settings))
+    if settings.select_features:
+        scout = trees.fit_forest(prepared, settings.selection_trees, seed=seed)
+        prepared = trees.select_important(prepared, scout.importances)
+    forest = trees.fit_forest(prepared, settings.forest_trees, seed=seed)
+    return trees.score_rows(prepared, forest).select(*rows.columns, "yhat"), forest.importances
+
+
+def item_importance_table(importances: DataFrame) -> DataFrame:
+    """(feature, skill, importance, rank) of a forest of one group."""
+    skill = F.when(F.col("feature").startswith("skill="), F.substring("feature", len("skill=") + 1, 1 << 20))
+    return trees.ranked(importances).select("feature", skill.alias("skill"), "importance", "rank")
+
+
 def skill_importance_by_role(df: DataFrame, key: str, seq: str, settings: Settings = MARKET) -> DataFrame:
     """(role, skill, importance, rank, status) for the first roles to appear.
 
-    One distributed forest per role on place, company and skills; the number
-    of roles is fixed and small.  A role with too few observed salaries, or
-    whose skills were assumed from its title, gets a status and no numbers.
+    One fit for all roles, each with its own forest of unbounded depth on place, company and skills.
+    A role with too few observed salaries, or whose skills were assumed from its title,
+    gets a status and no numbers.
     """
     spark = df.sparkSession
     roles = [r[TITLE] for r in stats.roles_by_appearance(df, TITLE, seq, rules.ROLES_EXPLAINED).collect()]
@@ -273,22 +302,24 @@ def skill_importance_by_role(df: DataFrame, key: str, seq: str, settings: Settin
         F.count_if(F.col("skill_origin") == "title_default").alias("assumed"),
     )
     found = {r[TITLE]: r for r in counts.collect()}  # one row per role
-    skill_list = skills.observed_list(known)
-    role_settings = replace(settings, with_company=True, select_features=False)
-    rows = []
+    states = {}
     for role in roles:
         if role not in found or found[role]["n"] < rules.MIN_ROLE_ROWS:
-            rows.append((role, None, None, None, "insufficient_data"))
-            continue
-        if found[role]["assumed"] == found[role]["n"]:
-            rows.append((role, None, None, None, "skills_assumed_from_title"))
-            continue
-        train = training_rows(known.where(F.col(TITLE) == role), key, role_settings).where("split = 'train'")
-        fitted = fit_forest(train, skill_list, role_settings)
-        by_column = {f"num_{skills.indicator_name(s)}": s for s in skill_list}
-        weights = [(by_column[n], float(w)) for n, w in zip(fitted.names, fitted.importances) if n in by_column]
-        weights.sort(key=lambda x: (-x[1], x[0]))
-        rows += [(role, s, w, i, "fitted") for i, (s, w) in enumerate(weights, 1)]
-    return spark.createDataFrame(
-        rows, "role string, skill string, importance double, rank int, status string"
-    )
+            states[role] = "insufficient_data"
+        elif found[role]["assumed"] == found[role]["n"]:
+            states[role] = "skills_assumed_from_title"
+    schema = "role string, skill string, importance double, rank int, status string"
+    out = spark.createDataFrame([(r, None, None, None, s) for r, s in states.items()], schema)
+    fitted = [r for r in roles if r not in states]
+    if not fitted:
+        return out
+    role_settings = replace(settings, with_company=True, select_features=False)
+    rows = training_rows(known.where(F.col(TITLE).isin(fitted)), key, role_settings).where("split = 'train'")
+    forest = trees.fit_forest(item_rows(rows, [PLACE, COMPANY], F.col(TITLE)), settings.forest_trees, seed=settings.seed)
+    listed = F.array(*[F.lit(s) for s in skills.observed_list(known)]).cast("array<string>")
+    wanted = spark.createDataFrame([(r,) for r in fitted], "grp string").select("grp", F.explode(listed).alias("skill"))
+    wanted = wanted.withColumn("feature", F.concat(F.lit("skill="), "skill"))
+    weights = wanted.join(forest.importances, ["grp", "feature"], "left").withColumn("importance", F.coalesce("importance", F.lit(0.0)))
+    return out.unionByName(trees.ranked(weights).select(
+        F.col("grp").alias("role"), "skill", "importance", "rank", F.lit("fitted").alias("status")
+    ))
