@@ -56,6 +56,30 @@ def test_blocks_reach_aliases_but_not_allowed_ones(spark):
     assert url_filters.filter_urls(pages(spark, rows), RULES).count() == len(rows)
 
 
+def test_forms_of_a_link(spark):
+    blocked = "http://s.com/de/1"
+    pages_ = [
+        (1, "http://s.com/a/b/c", canonical("../../de/1")), (2, "http://s.com/a/b", canonical("./../x/./../de/1#top")),
+        (3, "http://t.net/", '<link rel="nofollow Canonical" href="http://s.com/de/1">'), (4, "http://t.net/4", '<link rel="canonical-not" href="http://s.com/de/1">'),
+        (5, "http://t.net/5", '<base target=x href="//s.com/fr/y"><link rel=canonical href="../de/1">'),
+        (6, "http://t.net/6", '<base target=x><link rel=canonical href="/de/1">'), (7, "http://t.net/7", canonical("http://s.com/../../de/z/..")),
+        (8, "http://t.net/8", canonical("http://s.com/de/..")), (9, "http://t.net/9", '<base href="http://s.com"><meta http-equiv=refresh content="0;url=de/q?a/../b">'),
+        (10, "http://t.net/10", None), (11, "http://t.net/11", None), (12, blocked, None),
+    ]
+    hops = spark.createDataFrame([("http://s.com/n/10", "../de/9"), ("http://t.net/10", "http://s.com/n/10"), ("http://t.net/11", "?x"), (None, "/"), ("http://t.net/11", None)], "src string, dst string")
+    got = verdicts(spark, pages_, redirects=hops)
+    assert {i for i, v in got.items() if v[3] == "block"} == {1, 2, 3, 5, 7, 9, 10, 12}
+
+
+def test_dot_segments(spark):
+    from pyspark.sql import functions as F
+
+    paths = ["/a/b/../c", "/a/..", "/..", "/../x", "/a/./b/.", "/./", "/.", "/a/b/../../../c/", "/.../..a/b..", "/a//b/./../c", "/x", "", "/a/./.././b/.."]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r[0] for r in df.select(url_filters._without_dots(F.col("p"))).collect()]
+    assert got == ["/a/c", "/", "/", "/x", "/a/b/", "/", "/", "/c/", "/.../..a/b..", "/a//c", "/x", "", "/"]
+
+
 def test_logged_redirects_and_long_chains(spark):
     n = 300
     hops = [(f"http://r{i}.net/", f"http://r{i + 1}.net/") for i in range(n)] + [(f"http://r{n}.net/", "http://x.com/de/"), (None, "http://a.net/")]
@@ -97,7 +121,10 @@ def test_sql_with_links(spark, tmp_path):
     import duckdb
 
     rows = [(1, "https://a.net/1", canonical("/2")), (2, "http://a.net/2", canonical("http://x.com/de/1")), (3, "http://a.org/", canonical("http://a.net/1")),
-            (4, None, None), (5, "http://q.net/", "canonical")]
+            (4, None, None), (5, "http://q.net/", "canonical"),
+            (6, "http://s.com/a/b/c", canonical("../../x/./../de/1")), (7, "http://t.net/", '<link rel="me canonical" href="http://s.com/a/../de/..">'),
+            (8, "http://t.net/8", '<base href="//s.com/fr/y/"><link rel=canonical href="../../de/1">'), (9, "http://t.net/9?x", '<base><link rel=canonical href="../../de/1">'),
+            (10, "http://t.net/10", '<base href=http://s.com><link rel=canonical href="de/./1">'), (11, "http://t.net/11", canonical("http://s.com/de/x/.."))]
     path = str(tmp_path / "pages")
     pages(spark, rows).write.parquet(path)
     con = duckdb.connect()

@@ -13,6 +13,25 @@ def _attribute(name: str) -> str:
     return " || ".join(f"regexp_extract(tag, '(?i)\\b{name}{_QUOTED}', {g})" for g in (1, 2, 3))
 
 
+# segment by segment; a dot segment at the end leaves a slash
+_FOLD = (
+    "(list_reduce(string_split({0}, '/'), lambda done, x: CASE x WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/?[^/]*$', '') "
+    "ELSE done || '/' || x END) || CASE WHEN regexp_matches({0}, '/\\.\\.?$') THEN '/' ELSE '' END)"
+)
+
+
+def _target(host: str, path: str) -> str:
+    """What ``href`` on a page names, before dot segments are folded."""
+    folder = f"regexp_replace({path}, '[^/]*$', '')"
+    return f"""CASE
+      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+      WHEN href LIKE '//%' THEN 'x:' || href
+      WHEN href LIKE '/%' THEN 'x://' || {host} || href
+      WHEN href LIKE '?%' THEN 'x://' || {host} || {path} || href
+      WHEN href = '' OR href LIKE '#%' OR href LIKE '%:%' THEN NULL
+      ELSE 'x://' || {host} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || href END"""
+
+
 OP1 = rf"""
 WITH RECURSIVE rules(verdict, host, path) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
@@ -21,28 +40,27 @@ rows_ AS (
   SELECT page_id, {_HOST.format("rest")} AS host, {_PATH.format("rest")} AS path, {_QUERY.format("rest")} AS query,
          html, coalesce(strpos(url, '://'), 0) > 0 AS given
   FROM (SELECT *, {_REST.format("coalesce(url, '')")} AS rest FROM pages)),
-tags AS (
-  SELECT host, path, query, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS tag
+found AS (
+  SELECT host, path, query, html, regexp_extract(html, '(?i)<base\b[^>]*>') AS tag
   FROM rows_ WHERE given AND regexp_matches(html, '(?i)canonical|refresh')),
+based AS (
+  SELECT *, {_REST.format("base")} AS rest FROM (
+    SELECT *, coalesce({_target("host", "path")}, 'x://' || host || path) AS base
+    FROM (SELECT *, replace(trim({_attribute("href")}, ' '), '&amp;', '&') AS href FROM found))),
+tags AS (
+  SELECT host || path || query AS a, {_HOST.format("rest")} AS host, CASE WHEN href = '' THEN path ELSE {_FOLD.format(_PATH.format("rest"))} END AS path,
+         unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM based),
 hrefs AS (
-  SELECT host, path, query, replace(trim(CASE
-      WHEN lower({_attribute("rel")}) = 'canonical' THEN {_attribute("href")}
+  SELECT a, host, path, replace(trim(CASE
+      WHEN regexp_matches({_attribute("rel")}, '(?i)(^|\s)canonical(\s|$)') THEN {_attribute("href")}
       WHEN lower({_attribute("http-equiv")}) = 'refresh'
         THEN regexp_extract({_attribute("content")}, '(?i)url\s*=\s*[''"]?([^''">]*)', 1) END, ' '), '&amp;', '&') AS href
   FROM tags),
 targets AS (
-  SELECT host || path || query AS a, {_REST.format("dst")} AS rest FROM (
-    SELECT *, CASE
-      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
-      WHEN href LIKE '//%' THEN 'x:' || href
-      WHEN href LIKE '/%' THEN 'x://' || host || href
-      WHEN href LIKE '?%' THEN 'x://' || host || path || href
-      WHEN href = '' OR href LIKE '#%' OR href LIKE '%:%' THEN NULL
-      ELSE 'x://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/'
-                                  ELSE regexp_replace(path, '[^/]*$', '') END || href END AS dst
-    FROM hrefs) WHERE dst IS NOT NULL),
+  SELECT a, {_REST.format("dst")} AS rest FROM (SELECT a, {_target("host", "path")} AS dst FROM hrefs) WHERE dst IS NOT NULL),
 edges AS (
-  SELECT a, {_HOST.format("rest")} || {_PATH.format("rest")} || {_QUERY.format("rest")} AS b FROM targets),
+  SELECT a, {_HOST.format("rest")} || {_FOLD.format(_PATH.format("rest"))} || {_QUERY.format("rest")} AS b FROM targets),
 both_ AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 judged AS (
   SELECT node, arg_max(verdict, length(r.host || r.path)) AS verdict

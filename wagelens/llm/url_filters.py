@@ -7,7 +7,7 @@ no rule judges itself, so an explicit allow always holds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
 
@@ -69,9 +69,37 @@ def judged(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.greatest(none, none, *fits)
 
 
-def _resolved(base: Column, href: Column) -> Column:
-    """A link as an absolute URL, without folding dot segments."""
-    href = F.regexp_replace(F.trim(href), "&amp;", "&")
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
+
+
+def _without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` segments folded, as a browser asks for it.
+
+    Cut at the ``..`` segments; each takes the last segment off what was folded before it.
+    """
+
+    def step(before: Column, part: Column) -> Column:
+        last = F.length(F.substring_index(before, "/", -1))
+        return F.concat(F.left(before, F.length(before) - last - 1), part)
+
+    def fold(parts: Column) -> Column:
+        return F.aggregate(F.slice(parts, 2, F.size(parts)), F.element_at(parts, 1), step)
+
+    plain = F.regexp_replace(F.regexp_replace(path, r"/\.(?=/)", ""), r"/\.$", "/")
+    end = F.when(path.endswith("/.."), "/").otherwise("")
+    return F.concat(_bound(F.split(plain, r"/\.\.(?=/|$)"), fold), end)
+
+
+def _folded(url: Column) -> Column:
+    tail = F.regexp_extract(_rest(url), "^[^?#]*(.*)", 1)
+    folded = F.concat(F.lit("x://"), host_of(url), _bound(path_of(url), _without_dots), tail)
+    return F.when(path_of(url).rlike(r"/\.\.?(/|$)"), folded).otherwise(url)
+
+
+def _target(base: Column, href: Column) -> Column:
+    """A link as an absolute URL, with its dot segments."""
     site = F.concat(F.lit("x://"), host_of(base))
     folder = F.regexp_replace(path_of(base), "[^/]*$", "")
     return (
@@ -84,27 +112,46 @@ def _resolved(base: Column, href: Column) -> Column:
     )
 
 
+def _resolved(base: Column, href: Column) -> Column:
+    """A link as an absolute URL."""
+    return _bound(_bound(base, lambda b: _bound(F.trim(href), lambda h: _target(b, h))), _folded)
+
+
 def _attribute(tag: Column, pattern: str) -> Column:
     return F.concat(*(F.regexp_extract(tag, rf"(?i){pattern}", g) for g in (1, 2, 3)))
 
 
+def _unescaped(value: Column) -> Column:
+    return F.regexp_replace(value, "&amp;", "&")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(src, dst) URLs of canonical links and meta refreshes in ``html``."""
+    """(src, dst) URLs of canonical links and meta refreshes in ``html``, relative to its ``<base>`` if it has one."""
     some = pages.where(F.col("html").rlike("(?i)canonical|refresh") & F.col("url").contains("://"))
-    tags = some.select("url", F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0)).alias("tag"))
     quoted = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    first_base = F.regexp_extract("html", r"(?i)<base\b[^>]*>", 0)
+    base = _resolved(F.col("url"), _unescaped(_attribute(first_base, r"\bhref" + quoted)))
+    links = F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0))
+    tags = some.select("url", F.coalesce(base, "url").alias("base"), links.alias("tag"))
     rel, equiv = _attribute(F.col("tag"), r"\brel" + quoted), _attribute(F.col("tag"), r"\bhttp-equiv" + quoted)
     refresh = F.regexp_extract(_attribute(F.col("tag"), r"\bcontent" + quoted), r"""(?i)url\s*=\s*['"]?([^'">]*)""", 1)
-    href = F.when(F.lower(rel) == "canonical", _attribute(F.col("tag"), r"\bhref" + quoted)).when(
+    href = F.when(rel.rlike(r"(?i)(^|\s)canonical(\s|$)"), _attribute(F.col("tag"), r"\bhref" + quoted)).when(
         F.lower(equiv) == "refresh", refresh
     )
-    return tags.select(F.col("url").alias("src"), _resolved(F.col("url"), href).alias("dst")).where("dst is not null")
+    return tags.select(F.col("url").alias("src"), _resolved(F.col("base"), _unescaped(href)).alias("dst")).where("dst is not null")
+
+
+def _logged(redirects: DataFrame) -> DataFrame:
+    """(src, dst) of logged redirects; a target may be relative to its source."""
+    target = _resolved(F.col("src"), F.col("dst"))
+    return redirects.where("src like '%://%'").select("src", target.alias("dst")).where("dst is not null")
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
     """Judge every page by its URL: page_id, host, path, rule, verdict, via_alias.
 
     ``redirects`` (src, dst) adds logged redirects to the links found in ``html``.
+    Targets may be relative; their dot segments are folded, those of ``url`` are not.
     A rule that fits decides; else the page is blocked if a rule blocks any alias
     of it, listed as a page or not (``via_alias``), and allowed otherwise.
 
@@ -117,7 +164,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame |
                         path_of(F.coalesce(url, F.lit(""))).alias("path"))
     links = page_links(pages.select("url", "html"))
     if redirects is not None:
-        links = links.unionByName(redirects.select("src", "dst").where("src like '%://%' and dst like '%://%'"))
+        links = links.unionByName(_logged(redirects))
     links = stage(links, "links")
     aliases = connected_components(links.select(address_of(F.col("src")).alias("a"), address_of(F.col("dst")).alias("b")))
     # an address keeps host and path, so it can be judged by itself
