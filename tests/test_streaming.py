@@ -5,13 +5,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from wagelens.streaming import feeds
+from wagelens.streaming import demand, feeds
 
 DAY = datetime(2024, 1, 1)
 
 
-
-
 @pytest.fixture(autouse=True)
 def few_partitions(spark):
     """Every partition of a state costs files and a Python worker in each batch."""
@@ -79,3 +77,57 @@ def test_a_hot_key_is_thinned_before_the_shuffle(spark):
     assert hot[0] == (DAY, 7) and hot[1:] == [(DAY + timedelta(minutes=i), 500 - 60 * i) for i in range(1, 9)]
     assert [s for k, _, s in got if k is None] == [None] and len(got) == 30
     assert feeds.thin_repeats(df.limit(0), "id", "t", ["seq"], "g").count() == 0
+
+
+def demanded(spark, tmp_path, batches, width="10 days", delay="5 days", slide=None):
+    """Rows (first day of the window, skill, n, status) out after each batch of (day, skill)."""
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    epoch, steps = datetime(1970, 1, 1), []
+    for batch in batches:
+        df = spark.createDataFrame([(None if d is None else epoch + timedelta(days=d), s) for d, s in batch], "ts timestamp, skill string")
+        df.coalesce(1).write.mode("append").parquet(source)
+        found = demand.windowed_demand(feeds.read_feed(spark, source, df.schema), ["skill"], F.col("ts"), width, delay, slide)
+        feeds.append_feed(found, out, state).awaitTermination()
+        rows = spark.read.schema(found.schema).parquet(out).collect()
+        steps.append(sorted(((r["window_start"] and (r["window_start"] - epoch).days, r["skill"], r["n"], r["status"]) for r in rows), key=repr))
+    return steps
+
+
+def test_a_window_goes_out_once_and_late_rows_after_it(spark, tmp_path):
+    batches = [
+        [(100, "sql"), (109, "sql"), (103, "go"), (None, "sql"), (114, None)],
+        [(101, "sql"), (112, "sql"), (116, "go")],  # the watermark is at 109: still in time
+        [(102, "sql"), (102, "sql"), (119, None), (111, "sql")],  # the first window is out
+        [(200, "go")],
+    ]
+    steps = demanded(spark, tmp_path, batches)
+    untimed, late = (None, "sql", 1, "untimed"), (100, "sql", 2, "late")
+    first = [(100, "go", 1, "closed"), (100, "sql", 3, "closed")]
+    last = [(110, "go", 1, "closed"), (110, "sql", 2, "closed"), (110, None, 2, "closed")]
+    assert steps == [[untimed], [*first, untimed], [first[0], late, first[1], untimed], sorted([*first, late, untimed, *last], key=repr)]
+
+
+def test_sliding_windows_count_a_row_in_each(spark, tmp_path):
+    steps = demanded(spark, tmp_path, [[(107, "go"), (None, "go")], [(300, "sql")]], slide="5 days")
+    assert steps[-1] == [(100, "go", 1, "closed"), (105, "go", 1, "closed"), (None, "go", 1, "untimed")]
+
+
+def test_hot_keys_are_counted_before_the_shuffle(spark):
+    df = spark.range(5000, numPartitions=1).select((F.col("id") % 2).alias("_start"), F.when(F.col("id") % 3 > 0, "hot").alias("skill"))
+    rows = demand.count_in_batches(df).collect()
+    assert len(rows) == 4 and sum(r["_n"] for r in rows) == 5000
+    assert demand.count_in_batches(df.limit(0)).count() == 0
+
+
+def test_reserved_names_are_refused(spark):
+    with pytest.raises(ValueError):
+        demand.windowed_demand(spark.range(1).withColumnRenamed("id", "n"), ["n"], F.current_timestamp(), "1 day", "1 day")
+
+
+def test_trend_with_gaps(spark):
+    rows = [(0, "go", 1), (0, "sql", 3), (1, "sql", 2), (2, "go", 4), (4, "go", 5)]
+    df = spark.createDataFrame([(DAY + timedelta(days=w), DAY + timedelta(days=w + 1), k, n) for w, k, n in rows],
+                               "window_start timestamp, window_end timestamp, skill string, n long")
+    got = {((r["window_start"] - DAY).days, r["skill"]): (r["share"], r["n_before"], r["share_change"]) for r in demand.demand_trend(df, "skill").collect()}
+    assert got == {(0, "go"): (0.25, None, None), (0, "sql"): (0.75, None, None), (1, "sql"): (1.0, 3, 0.25),
+                   (2, "go"): (1.0, 0, 1.0), (4, "go"): (1.0, None, None)}

@@ -14,7 +14,7 @@ from wagelens.operators import clean, dedup, stats
 from wagelens.plans import fixtures
 from wagelens.session import scratch_path
 from wagelens.sources import csv_folder, html, search_terms, tables
-from wagelens.streaming import feeds
+from wagelens.streaming import demand, feeds
 
 LAYOUTS = [
     ["posting_id", "title", "url", "agency", "location", "salary", "closing_date", "search_term"],
@@ -288,6 +288,70 @@ def _(spark, sf):
     return spark.read.schema(events.schema).parquet(path).drop("ts")
 
 
+# ---- demand over time ----------------------------------------------------
+
+_DAY = "date_trunc('day', ts)"
+_DUE = f"{_DAY} + INTERVAL 1 DAY <= (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 3 DAY"
+
+
+def _demand(spark, parts, closing, keys, width, delay):
+    """Demand of a feed whose parts arrive one by one, and then a closing row."""
+    source, path, state = (scratch_path(spark, n) for n in ("demand_feed", "demand", "demand_state"))
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+    schema = parts[0].schema
+    feeds.close_feed(spark, source, schema, closing)
+    found = demand.windowed_demand(feeds.read_feed(spark, source, schema, per_batch=1), keys, F.col("ts"), width, delay)
+    feeds.append_feed(found, path, state).awaitTermination()
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _seconds(column):
+    return F.unix_seconds(column).alias(column)
+
+
+@check(
+    "W3_demand_with_late_rows",
+    f"SELECT CAST(epoch({_DAY}) AS BIGINT) AS window_start, event_type, CASE WHEN event_id % 2 = 1 AND {_DUE} THEN 'late' ELSE 'closed' END AS status, "
+    "count(*) AS n FROM events GROUP BY ALL",
+)
+def _(spark, sf):
+    """The even events come first, with those of the last days, so most odd ones are late."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    span = events.agg(F.max("ts").alias("last")).first()["last"]
+    parts = [events.where(F.col("event_id") % 2 == i) for i in (0, 1)]
+    found = _demand(spark, parts, {"ts": span + timedelta(days=10)}, ["event_type"], "1 day", "3 days")
+    return found.groupBy(_seconds("window_start"), "event_type", "status").agg(F.sum("n").alias("n"))
+
+
+_SKILL_WINDOWS = """v_windows AS (
+  SELECT CAST(floor(epoch(CAST(snapshot AS TIMESTAMP)) / 7776000) AS BIGINT) * 7776000 AS window_start, skill, count(*) AS n
+  FROM (SELECT snapshot, unnest(skills) AS skill FROM v_skills) GROUP BY ALL),
+v_totals AS (SELECT window_start, sum(n) AS total FROM v_windows GROUP BY 1)"""
+
+
+@check(
+    "W3_skill_demand_trend",
+    sql(
+        "SELECT w.window_start, w.skill, w.n, CAST(w.n / t.total AS DOUBLE) AS share, "
+        "CASE WHEN p.total IS NOT NULL THEN coalesce(b.n, 0) END AS n_before, "
+        "CASE WHEN p.total IS NOT NULL THEN CAST(w.n / t.total - coalesce(b.n, 0) / p.total AS DOUBLE) END AS share_change "
+        "FROM v_windows w JOIN v_totals t USING (window_start) LEFT JOIN v_totals p ON p.window_start = w.window_start - 7776000 "
+        "LEFT JOIN v_windows b ON b.window_start = w.window_start - 7776000 AND b.skill = w.skill",
+        _SKILL_WINDOWS,
+    ),
+)
+def _(spark, sf):
+    """Skills named in postings per 90 days, from a feed in three files out of order."""
+    posted = F.to_timestamp(F.concat("snapshot", F.lit(" 00:00:00+00:00")))
+    rows = skilled(spark, sf).select("posting_id", posted.alias("ts"), F.explode("skills").alias("skill"))
+    span = rows.agg(F.max("ts").alias("last")).first()["last"]
+    parts = [rows.where(F.col("posting_id") % 3 == i).drop("posting_id") for i in (2, 0, 1)]
+    found = _demand(spark, parts, {"ts": span + timedelta(days=4100)}, ["skill"], "90 days", "4000 days")
+    over_time = demand.demand_over_time(found, ["skill"])
+    return demand.demand_trend(over_time, "skill").drop("window_end").withColumn("window_start", _seconds("window_start"))
+
+
 # ---- result pages --------------------------------------------------------
 
 LINKS = html.BoardLayout(
