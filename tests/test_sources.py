@@ -26,6 +26,59 @@ def test_odd_csv_files(spark, tmp_path):
     assert sorted(r["path"][-5:] for r in loaded.load_errors.collect()) == ["c.csv", "d.csv"]
 
 
+def test_file_names_with_odd_characters(spark, tmp_path):
+    (tmp_path / "a b+%20[1]{x}.csv").write_text("title\nDev\n")
+    for survey in (False, True):
+        loaded = csv_folder.load_folder(spark, str(tmp_path), survey=survey)
+        assert [(r["title"], r["source_file"]) for r in loaded.rows.collect()] == [("Dev", "a b+%20[1]{x}.csv")]
+    assert loaded.accounts().first()["n_read"] == 1
+
+
+def test_every_record_of_damaged_files_is_accounted_for(spark, tmp_path):
+    sound = 'title,url\n"a, ""b""\nc",u1\n6" pipe,u2\n\nshort\nx,y,z\n'
+    files = {
+        "sound.csv": sound.encode(),
+        "latin.csv": "title,url\nCafé,u1\nBar,u2\nx,y,z\n".encode("latin-1"),
+        "cut.csv": b'title,url\nA,u1\n"B\nC",u2\n"cut here,u3\nD,u4\nE,u',  # the last record ends early
+        "open_last.csv": b'title,url\nA,u1\nB,"u',
+        "nul.csv": b"\xef\xbb\xbftitle,url\r\nA\0,u1\r\nB,u2\r\n",
+        "packed.csv": __import__("gzip").compress(sound.encode()),
+        "wide.csv": "title,url\nA,u1\n".encode("utf-16"),
+        "twice.csv": b"title,title\nA,u1\nB,u2\n",
+        "empty.csv": b"",
+        "only_header.csv": b"title,url\n",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    loaded = csv_folder.load_folder(spark, str(tmp_path), survey=True)
+    got = {r["source_file"]: r for r in loaded.accounts().collect()}
+    assert {n: r["n_bytes"] for n, r in got.items()} == {n: len(c) for n, c in files.items()}
+    assert {n: (r["n_records"], r["n_read"], r["n_corrupt"], r["n_unread"], r["reason"]) for n, r in got.items()} == {
+        "sound.csv": (4, 3, 1, 0, None), "latin.csv": (3, 1, 2, 0, None), "cut.csv": (5, 4, 1, 0, None),
+        "open_last.csv": (2, 1, 1, 0, None), "nul.csv": (2, 1, 1, 0, None), "only_header.csv": (0, 0, 0, 0, None),
+        "packed.csv": (None, 0, 0, None, "compressed (gzip)"), "wide.csv": (None, 0, 0, None, "UTF-16"),
+        "twice.csv": (2, 0, 0, 2, "repeated column name"), "empty.csv": (0, 0, 0, 0, "no header line"),
+    }
+    rows = sorted((r["source_file"], r["title"], r["url"]) for r in loaded.rows.fillna("").collect())
+    assert rows == [
+        ("cut.csv", "A", "u1"), ("cut.csv", "B\nC", "u2"), ("cut.csv", "D", "u4"), ("cut.csv", "E", "u"),
+        ("latin.csv", "Bar", "u2"), ("nul.csv", "B", "u2"), ("open_last.csv", "A", "u1"),
+        ("sound.csv", '6" pipe', "u2"), ("sound.csv", 'a, "b"\nc', "u1"), ("sound.csv", "short", ""),
+    ]
+    bad = sorted((r["source_file"], r["_corrupt_record"]) for r in loaded.corrupt_rows.collect())
+    assert bad == [("cut.csv", '"cut here,u3'), ("latin.csv", "Caf\ufffd,u1"), ("latin.csv", "x,y,z"),
+                   ("nul.csv", "A,u1"), ("open_last.csv", 'B,"u'), ("sound.csv", "x,y,z")]
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in loaded.load_errors.collect()) == ["empty.csv", "packed.csv", "twice.csv", "wide.csv"]
+    with pytest.raises(ValueError):
+        csv_folder.load_folder(spark, str(tmp_path)).accounts()
+
+
+def test_only_damaged_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"title\nA\n\xff\n")
+    loaded = csv_folder.load_folder(spark, str(tmp_path), survey=True)
+    assert loaded.rows.count() == 1 and loaded.corrupt_rows.count() == 1
+
+
 def test_no_readable_csv(spark, tmp_path):
     (tmp_path / "c.csv").write_text("")
     with pytest.raises(ValueError):

@@ -87,6 +87,42 @@ def _(spark, sf):
     )
 
 
+@check(
+    "S2_damaged_files",
+    sql(
+        "SELECT posting_id, CASE WHEN NOT bad THEN title END AS title, CASE WHEN bad THEN 'corrupt' ELSE 'read' END AS status FROM v_damaged "
+        "UNION ALL SELECT NULL, 'UTF-16', 'unread' UNION ALL SELECT count(*), NULL, 'records' FROM v_postings",
+        """v_damaged AS (SELECT posting_id, title, CASE posting_id % 4 WHEN 1 THEN posting_id % 5 = 0 WHEN 2 THEN posting_id % 7 = 0
+          WHEN 3 THEN posting_id = (SELECT min(posting_id) FROM v_postings WHERE posting_id % 4 = 3) ELSE false END AS bad FROM v_postings)""",
+    ),
+)
+def _(spark, sf):
+    """Files with text of another encoding, with NUL characters, with an open quote, and one in UTF-16."""
+    rows = postings(spark, sf).select(F.col("posting_id"), "title", "url")
+    path = scratch_path(spark, "damaged")
+    opened = rows.where("posting_id % 4 = 3").agg(F.min("posting_id")).first()[0]
+
+    def write(rest, url, where="true", **options):
+        part = rows.where(f"posting_id % 4 = {rest}").withColumn("url", F.when(F.expr(where), url).otherwise(F.col("url")))
+        part.coalesce(1).write.mode("append").options(header=True, **options).csv(path)
+
+    write(0, F.col("url"))
+    write(1, F.lit("café"), "posting_id % 5 = 0", encoding="ISO-8859-1")
+    write(2, F.lit("a\0b"), "posting_id % 7 = 0")
+    write(3, F.lit('"open'), f"posting_id = {opened}", quote="\0")
+    rows.coalesce(1).write.mode("append").options(header=True, encoding="UTF-16").csv(path)
+    loaded = csv_folder.load_folder(spark, path, survey=True)
+    number = lambda c: c.cast("bigint").alias("posting_id")
+    nothing, accounts = F.lit(None).cast("string").alias("title"), loaded.accounts()
+    parts = [
+        loaded.rows.select(number(F.col("posting_id")), "title", F.lit("read").alias("status")),
+        loaded.corrupt_rows.select(number(F.split(csv_folder.CORRUPT, ",")[0]), nothing, F.lit("corrupt").alias("status")),
+        accounts.where("reason IS NOT NULL").select(number(F.lit(None)), F.col("reason").alias("title"), F.lit("unread").alias("status")),
+        accounts.where("n_records = n_read + n_corrupt + n_unread").agg(F.sum("n_records")).select(number(F.col("sum(n_records)")), nothing, F.lit("records").alias("status")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @check("S3_source_file", sql("SELECT posting_id, true AS has_source FROM v_postings"))
 def _(spark, sf):
     rows = csv_folder.load_folder(spark, _csv_folder(spark, sf)).rows
