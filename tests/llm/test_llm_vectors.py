@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wagelens.llm import metric_join, topk
 
@@ -123,3 +124,11 @@ def test_cells_hold_all_partners():
     home, present = metric_join._cells(x, pivots, reach)
     i, j = np.nonzero(x @ x.T >= 0.93)
     assert present[j, home[i]].all() and present.mean() < 0.6
+
+
+def test_pivots_of_a_hot_label_come_without_sorting_it(spark):
+    rows = [(i, [float(i), 1.0], 1 if i % 3 else 100 + i % 30) for i in range(40_000)]
+    distinct = frame(spark, rows).select(F.col("vec_id").alias("uid"), F.col("embedding").alias("v"), F.col("label").cast("long").alias("label"))
+    pivots = metric_join._pivots(distinct)
+    assert {x: len(p) for x, p in pivots.items()} == {1: 26_666 // metric_join.CELL}
+    assert metric_join._pivots(distinct.limit(0)) == {}

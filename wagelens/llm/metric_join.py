@@ -42,10 +42,14 @@ def _pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
     sizes = distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     share = max(CELL, math.ceil(total / PIVOTS))
-    wanted = sizes.select("label", F.floor(F.col("n") / share).alias("wanted")).where("wanted > 1")
+    # at most PIVOTS / 2 rows, as each label here has at least 2 shares of the total
+    wanted = F.broadcast(sizes.select("label", F.col("n").alias("of"), F.floor(F.col("n") / share).alias("wanted")).where("wanted > 1"))
+    # drawn by hash, with some to spare; what is left to trim is bounded by PIVOTS, however large a label is
+    rate = (F.col("wanted") + 4 * F.sqrt("wanted") + 8) / F.col("of")
+    chance = F.pmod(F.xxhash64(F.lit("pivot"), "uid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = distinct.join(wanted, "label").where(chance < rate)
     order = Window.partitionBy("label").orderBy(F.xxhash64("uid"), "uid")
-    drawn = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
-    taken = drawn.join(wanted, "label").where("place <= wanted").select("label", "v").toArrow()
+    taken = drawn.withColumn("place", F.row_number().over(order)).where("place <= wanted").select("label", "v").toArrow()
     labels = taken["label"].to_numpy()
     units = _units(matrix(taken["v"], width_of(taken["v"]))) if len(labels) else np.empty((0, 0))
     return {int(x): units[labels == x] for x in np.unique(labels)}
