@@ -1,6 +1,7 @@
 """Ids equal to the library's, whatever is cut and shared; exact round trips."""
 
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -92,3 +93,29 @@ def test_false_alarms_of_the_filter_change_nothing(spark, monkeypatch):
     want = sorted(map(tuple, bpe.encode_documents(frame(spark, rows), PATH).collect()))
     monkeypatch.setattr(bpe, "chunk_filter", lambda shared: np.full(16, 2**64 - 1, np.uint64))
     assert sorted(map(tuple, bpe.encode_documents(frame(spark, rows), PATH).collect())) == want
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}, {"decoder": None},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}},
+    {"post_processor": {"type": "TemplateProcessing"}}, "dropout", "unordered", "too few merges", "alphabet",
+])
+def test_other_kinds_of_files_are_refused(spark, tmp_path, change):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    merges = spec["model"]["merges"]
+    if isinstance(change, dict):
+        spec.update(change)
+    elif change == "dropout":
+        spec["model"]["dropout"] = 0.1
+    elif change == "unordered":
+        merges[5], merges[900] = merges[900], merges[5]
+    elif change == "too few merges":
+        merges.pop()
+    else:
+        spec["model"]["vocab"]["☃"] = spec["model"]["vocab"].pop("!")
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        bpe.encode_documents(frame(spark, [(1, "a text")]), str(path))

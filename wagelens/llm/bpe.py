@@ -57,21 +57,53 @@ _SAFE = re.compile(
 )
 
 
+#: how this family splits texts before merging (fixed value of the file format)
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in files of this family."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def check_spec(spec: dict) -> None:
+    """Refuse a tokenizer file for which the faster encoder or the safe places could differ from the library."""
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model.get("merges", ())]
+    ranks = [model.get("vocab", {}).get("".join(m), -1) for m in merges]
+    single = {c for c in model.get("vocab", {}) if len(c) == 1}
+    wrong = {
+        "model": model.get("type", "BPE") != "BPE" or any(model.get(k) for k in (
+            "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "normalizer": spec["normalizer"] is not None,
+        "pre_tokenizer": split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True),
+        "post_processor": (spec.get("post_processor") or {}).get("type", "ByteLevel") != "ByteLevel",
+        "decoder": (spec.get("decoder") or {}).get("type") != "ByteLevel",
+        "merges": ranks != sorted(set(ranks)) or -1 in ranks or len(ranks) + len(single) != len(model["vocab"]),
+        "alphabet": single != set(_byte_letters()),
+    }
+    if any(wrong.values()):
+        raise ValueError(f"not a plain byte-level BPE file, see {', '.join(k for k, v in wrong.items() if v)}")
+
+
 class Codec:
-    """A byte-level BPE tokenizer file: its library, a faster equal encoder, and its bytes by id."""
+    """A byte-level BPE tokenizer file: its library, a faster equal encoder, and its bytes by id.
+
+    Files with a normaliser, another way of splitting, or merges out of the order of their ids are refused.
+    """
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        check_spec(spec)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = [b for b in range(256) if b not in set(plain)]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+        byte = _byte_letters()
         vocab = {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items()}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("codec", pat_str=pattern, mergeable_ranks=vocab, special_tokens={})
+        self.fast = tiktoken.Encoding("codec", pat_str=SPLIT, mergeable_ranks=vocab, special_tokens={})
         self.added = [t["content"] for t in spec["added_tokens"]]
         pieces = {i: p for p, i in vocab.items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
@@ -274,11 +306,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False) ->
     ``ids`` holds them as little-endian 32-bit numbers if ``keep_ids``, else null.
 
     Null text is the empty text: no ids, and the hash of nothing.  Text of any length
-    is encoded whole; the string of an added token becomes its id.  Repeated rows give
+    is encoded whole; the string of an added token becomes its id.  A file that is no plain
+    byte-level BPE file is refused.  Repeated rows give
     repeated results, null ids stay null, an empty table gives no rows, and only
     doc_id and text are read.
     """
     spark = docs.sparkSession
+    codec(tokenizer)  # refuses other kinds of files before any work
     shared = stage(shared_chunks(docs), "shared")
     table = spark.sparkContext.broadcast(chunk_filter(shared))  # at most FILTER_BITS
 
