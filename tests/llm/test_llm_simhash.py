@@ -2,10 +2,12 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wagelens.llm import simhash
 from wagelens.llm.components import connected_components
@@ -128,3 +130,34 @@ def test_components_of_chains_hubs_and_loops(spark):
     name = groups(nodes, lambda a, b: frozenset((a, b)) in linked)
     assert got == {x: nodes[name[i]] for i, x in enumerate(nodes)}
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [40])
+def test_large_buckets_are_cut_without_losing_links(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "SAMPLE", 1)
+    draw = random.Random(9)
+    prints = {0, 1, 2**63, 2**64 - 1}
+    for _ in range(30):  # they agree in the upper 40 bits, so every first mask has hot buckets
+        base = 0xABCDE12345 << 24 | draw.getrandbits(24)
+        prints |= {base ^ sum(1 << x for x in draw.sample(range(24), draw.randrange(5))) for _ in range(12)}
+    prints |= {draw.getrandbits(64) for _ in range(200)}
+    prints = sorted(prints)
+    df = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long")
+    masks = simhash.block_masks(len(prints), 4)
+    sizes = simhash.buckets(df, masks, 4).groupBy("mask", "bucket").count().agg(F.max("count")).first()[0]
+    plainly = Counter((m, p & m) for m in masks for p in prints)
+    assert sizes <= bucket < max(plainly.values()) // 2
+    roots = {r.node % 2**64: r.root for r in connected_components(simhash.near_links(df, masks, 4)).collect()}
+    want = groups(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    got = [roots.get(p, f"alone {p}") for p in prints]
+    same = {}
+    for i, root in enumerate(got):
+        assert same.setdefault(root, want[i]) == want[i]
+    assert len(same) == len(set(want.values()))
+
+
+def test_buckets_that_cannot_be_cut_stay():
+    assert simhash.block_masks(1000, 4, fixed=(1 << 60) - 1) == []
+    masks = simhash.block_masks(1 << 20, 4, fixed=(1 << 40) - 1, most=330)
+    assert len(masks) <= 330 and all(m & (1 << 40) - 1 == (1 << 40) - 1 and m > (1 << 40) for m in masks)

@@ -3,7 +3,8 @@
 Distinct fingerprints are cut into blocks of bits.  Of ``b`` blocks, two
 fingerprints at most ``d`` bits apart share ``b - d`` at least, so equal values
 under one choice of ``b - d`` blocks find every close pair.  The number of blocks
-grows with the number of fingerprints, so a bucket holds few strangers at any size.
+grows with the number of fingerprints, so a bucket holds few strangers at any size;
+a bucket that is large all the same is cut by further blocks.
 Rows are sorted by bucket; a task compares within buckets in numpy, verifies the
 distance, and emits only a spanning forest of what it linked, never all pairs.
 """
@@ -11,7 +12,9 @@ distance, and emits only a spanning forest of what it linked, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ SEED = 42
 PIECE = 1 << 16
 #: buckets up to this size are compared pair by pair in vectors, larger ones by search from node to node
 SMALL = 48
+#: fingerprints a bucket of one task should have at most; share of them that is counted to tell; masks of a cut
+BUCKET, SAMPLE, MOST_CUTS = 1 << 16, 64, 330
 
 
 def fingerprint(text: bytes | None, shingle_words: int) -> int:
@@ -68,17 +73,52 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
-def block_masks(n: int, distance: int) -> list[int]:
+def block_masks(n: int, distance: int, fixed: int = 0, most: int | None = None) -> list[int]:
     """Masks of bits such that two of ``n`` fingerprints within ``distance`` agree under one of them.
 
-    As few blocks as leave about a quarter of a chance mate in a bucket, or less.
+    As few blocks as leave about a quarter of a chance mate in a bucket, or less, within
+    ``most`` masks.  Bits of ``fixed``, in which the fingerprints agree, are in every mask; the others
+    are cut.  None if there are too few of those to cut.
     """
+    free = [i for i in range(BITS) if not fixed >> i & 1]
     blocks = distance + 1
-    while blocks < BITS and n > 0.25 * 2 ** ((blocks - distance) * (BITS // blocks)):
+    if len(free) < blocks:
+        return []
+    while blocks < len(free) and n > 0.25 * 2 ** ((blocks - distance) * (len(free) // blocks)) and (most is None or comb(blocks + 1, distance) <= most):
         blocks += 1
-    edges = np.linspace(0, BITS, blocks + 1).round().astype(int).tolist()
-    parts = [((1 << (j - i)) - 1) << i for i, j in zip(edges, edges[1:])]
-    return [sum(c) for c in combinations(parts, blocks - distance)]
+    edges = np.linspace(0, len(free), blocks + 1).round().astype(int).tolist()
+    parts = [sum(1 << x for x in free[i:j]) for i, j in zip(edges, edges[1:])]
+    return [fixed | sum(c) for c in combinations(parts, blocks - distance)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> BITS - 1 else mask
+
+
+def buckets(distinct: DataFrame, masks: list[int], distance: int) -> DataFrame:
+    """(mask, bucket, fp): every fingerprint under every mask, with buckets of about BUCKET at most.
+
+    A larger bucket is cut again by blocks of the bits its mask leaves open: what is within
+    ``distance`` agrees under one of those.  Large ones are found by counting the
+    fingerprints of one hash in SAMPLE; to miss one would cost time, not links.
+    """
+    rows = distinct.select("fp", F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks))).alias("mask"))
+    rows = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bucket"), "fp")
+    done = []
+    while True:
+        drawn = rows.where(F.pmod(F.xxhash64(F.lit("size"), "fp"), F.lit(SAMPLE)) == 0)
+        sizes = drawn.groupBy("mask", "bucket").agg((F.count(F.lit(1)) * SAMPLE).alias("n")).where(F.col("n") > BUCKET)
+        large = stage(sizes, "large")
+        widest = large.groupBy("mask").agg(F.max("n").alias("n")).collect()  # at most a row a mask
+        cuts = [(r["mask"], _signed(m)) for r in widest for m in block_masks(r["n"], distance, r["mask"] % (1 << BITS), MOST_CUTS)]
+        if not cuts:
+            break
+        able = large.where(F.col("mask").isin(sorted({m for m, _ in cuts}))).select("mask", "bucket")
+        done.append(rows.join(able, ["mask", "bucket"], "left_anti"))
+        finer = F.broadcast(distinct.sparkSession.createDataFrame(cuts, "mask long, finer long"))
+        cut = rows.join(able, ["mask", "bucket"], "left_semi").join(finer, "mask")
+        rows = stage(cut.select(F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("bucket"), "fp").distinct(), "cut")
+    return reduce(DataFrame.unionByName, [*done, rows])
 
 
 def close_within(fps: np.ndarray, first: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +158,7 @@ def near_links(distinct: DataFrame, masks: list[int], distance: int) -> DataFram
     """(a, b): links that connect whatever fingerprints are within ``distance``, in few rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.uint64)]
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)]
 
         def linked(mask: np.ndarray, bucket: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
             first = np.flatnonzero(np.append(True, (mask[1:] != mask[:-1]) | (bucket[1:] != bucket[:-1])))
@@ -143,10 +183,7 @@ def near_links(distinct: DataFrame, masks: list[int], distance: int) -> DataFram
         if len(held[0]):
             yield linked(*held)
 
-    rows = distinct.select(
-        "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(m - (1 << BITS) if m >> 63 else m) for m in masks)))
-    ).select(F.col("pos").alias("mask"), F.col("col").alias("bucket"), "fp")
-    spread = rows.repartition("mask", "bucket").sortWithinPartitions("mask", "bucket")
+    spread = buckets(distinct, masks, distance).repartition("mask", "bucket").sortWithinPartitions("mask", "bucket")
     return spread.mapInArrow(run, "a long, b long")
 
 
