@@ -112,3 +112,9 @@ def test_kept_rows(spark):
     ids = {r.doc_id for r in kept.collect()}
     assert 803 in ids and not ids & {800, 801, 802} and kept.count() == 91
     assert language_id.keep_identified(frame(spark, [(1, "abc", None), (2, "1", None), (3, None, None)]), 0.25).count() == 1
+
+
+def test_many_label_values_are_bounded(spark):
+    rows = [(i, f"word{i % 600} common", f"l{i % 600:03}") for i in range(1800)] + [(i, "the most frequent", "zz") for i in range(1800, 1900)]
+    model = language_id.learn(frame(spark, rows), most_languages=20)
+    assert len(model.languages) == 20 and model.languages[0] == "zz"

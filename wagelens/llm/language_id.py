@@ -24,7 +24,7 @@ from wagelens.llm.viterbi import best_path
 from wagelens.session import ship_package
 
 UNKNOWN = "und"
-DOCS_PER_LANGUAGE = 4000
+DOCS_PER_LANGUAGE, MOST_LANGUAGES = 4000, 256
 FEATURES = 1 << 16
 #: least share of a language's training words for a script to be one of its scripts
 SCRIPT_SHARE = 0.01
@@ -97,14 +97,16 @@ def in_training(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
 
 
-def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
+def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> Model | None:
     """Fit on documents that are not held out and have text and lang; None if there are none.
 
-    A null doc_id is not held out (its remainder is null): it is left out of training all the same.
+    The ``most_languages`` with most documents are learned, which bounds the model; others are
+    never predicted.  A null doc_id is not held out (its remainder is null): it is left out of training all the same.
     """
     ship_package(docs.sparkSession)
     given = docs.select("doc_id", "text", "lang").where(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in given.groupBy("lang").count().collect()}  # one row a language
+    frequent = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    counts = {r["lang"]: r["count"] for r in frequent.collect()}
     if not counts:
         return None
     languages = tuple(sorted(counts, key=lambda x: (-counts[x], x)))
