@@ -145,10 +145,10 @@ def test_large_buckets_are_cut_without_losing_links(spark, monkeypatch, bucket):
     prints = sorted(prints)
     df = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long")
     masks = simhash.block_masks(len(prints), 4)
-    sizes = simhash.buckets(df, masks, 4).groupBy("mask", "bucket").count().agg(F.max("count")).first()[0]
+    sizes = simhash.buckets(df, len(prints), masks, 4).groupBy("mask", "bucket").count().agg(F.max("count")).first()[0]
     plainly = Counter((m, p & m) for m in masks for p in prints)
     assert sizes <= bucket < max(plainly.values()) // 2
-    roots = {r.node % 2**64: r.root for r in connected_components(simhash.near_links(df, masks, 4)).collect()}
+    roots = {r.node % 2**64: r.root for r in connected_components(simhash.near_links(df, len(prints), 4)).collect()}
     want = groups(prints, lambda a, b: (a ^ b).bit_count() <= 4)
     got = [roots.get(p, f"alone {p}") for p in prints]
     same = {}

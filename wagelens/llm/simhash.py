@@ -95,8 +95,8 @@ def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> BITS - 1 else mask
 
 
-def buckets(distinct: DataFrame, masks: list[int], distance: int) -> DataFrame:
-    """(mask, bucket, fp): every fingerprint under every mask, with buckets of about BUCKET at most.
+def buckets(distinct: DataFrame, n: int, masks: list[int], distance: int) -> DataFrame:
+    """(mask, bucket, fp): each of ``n`` fingerprints under every mask, with buckets of about BUCKET at most.
 
     A larger bucket is cut again by blocks of the bits its mask leaves open: what is within
     ``distance`` agrees under one of those.  Large ones are found by counting the
@@ -104,6 +104,8 @@ def buckets(distinct: DataFrame, masks: list[int], distance: int) -> DataFrame:
     """
     rows = distinct.select("fp", F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks))).alias("mask"))
     rows = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bucket"), "fp")
+    if n <= BUCKET:  # no bucket holds more
+        return rows
     done = []
     while True:
         drawn = rows.where(F.pmod(F.xxhash64(F.lit("size"), "fp"), F.lit(SAMPLE)) == 0)
@@ -154,8 +156,8 @@ def close_within(fps: np.ndarray, first: np.ndarray, distance: int) -> tuple[np.
     return (np.concatenate(a), np.concatenate(b)) if a else (fps[:0], fps[:0])
 
 
-def near_links(distinct: DataFrame, masks: list[int], distance: int) -> DataFrame:
-    """(a, b): links that connect whatever fingerprints are within ``distance``, in few rows."""
+def near_links(distinct: DataFrame, n: int, distance: int) -> DataFrame:
+    """(a, b): links that connect whatever of ``n`` distinct fingerprints are within ``distance``, in few rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)]
@@ -183,7 +185,7 @@ def near_links(distinct: DataFrame, masks: list[int], distance: int) -> DataFram
         if len(held[0]):
             yield linked(*held)
 
-    spread = buckets(distinct, masks, distance).repartition("mask", "bucket").sortWithinPartitions("mask", "bucket")
+    spread = buckets(distinct, n, block_masks(n, distance), distance).repartition("mask", "bucket").sortWithinPartitions("mask", "bucket")
     return spread.mapInArrow(run, "a long, b long")
 
 
@@ -195,7 +197,7 @@ def _named(docs: DataFrame, shingle_words: int, distance: int) -> DataFrame:
     prints = stage(fingerprints(docs, shingle_words), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     distinct = stage(prints.groupBy("fp").agg(F.min(place).alias("first")), "distinct")
-    links = near_links(distinct.select("fp"), block_masks(distinct.count(), distance), distance)
+    links = near_links(distinct.select("fp"), distinct.count(), distance)
     roots = connected_components(links)
     members = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
