@@ -138,3 +138,38 @@ def test_r2_is_not_the_squared_correlation(spark):
     df = spark.createDataFrame([("m", "s", float(y), float(y + 1)) for y in range(4)], "model string, split string, y double, yhat double")
     got = {r["metric"]: r["value"] for r in regress.regression_metrics(df).collect()}
     assert got["r2"] == pytest.approx(0.2) and got["rmse"] == pytest.approx(1.0) and got["mae"] == pytest.approx(1.0)
+
+
+def test_bootstrap_of_feature_sets_is_one_of_rows(spark):
+    data = [(i, "t" if i % 2 else "u", None if i % 4 == 3 else f"p{i % 4}", ["go"] if i % 3 else [], float(i % 7)) for i in range(4_000)]
+    df = spark.createDataFrame(data, "model_key long, standardized_title string, standardized_location string, skills array<string>, y double")
+    cats = models.categories_of(TINY)
+    sets = models.bootstrap_sets(df.repartition(7), cats, TINY, 40).collect()
+    counts = {(r[cats[0]], r[cats[1]], tuple(r["skills"])): r["count"] for r in df.groupBy(*cats, "skills").count().collect()}
+    assert {(r[cats[0]], r[cats[1]], tuple(r["skills"])) for r in sets} == set(counts) and len(sets) == len(counts)
+    for r in sets:
+        n = counts[r[cats[0]], r[cats[1]], tuple(r["skills"])]
+        assert [d["tree"] for d in r["drawn"]] == list(range(40))
+        w = [d["w"] for d in r["drawn"]]
+        mean = sum(w) / 40
+        assert mean == pytest.approx(n, abs=5 * (n / 40) ** 0.5)  # as many rows as there are, and
+        assert 0.3 * n < sum((x - mean) ** 2 for x in w) / 39 < 2.2 * n  # drawn one by one: a set drawn whole spreads by n * n
+        assert all(0 <= d["y"] <= 6 for d in r["drawn"])
+
+
+def test_forest_trees_grow_on_sets_not_rows(spark, rows, skill_list, monkeypatch):
+    seen = []
+    fit = models.fit_trees
+    monkeypatch.setattr(models, "fit_trees", lambda sets, *a: seen.append(sets.count()) or fit(sets, *a))
+    train = rows.where("split = 'train'")
+    again = train.unionByName(train).unionByName(train)
+    fitted = models.fit_forest(again, skill_list, TINY)
+    n_sets = train.select(*models.categories_of(TINY), "skills").distinct().count()
+    assert set(seen) == {n_sets} and n_sets < again.count()
+    forest = fitted.steps.stages[-1]
+    assert forest.getNumTrees == len(forest.trees) == TINY.forest_trees
+    assert max(t.depth for t in forest.trees) <= TINY.forest_depth
+    out = fitted.steps.transform(skills.with_indicators(train.limit(20), skill_list)).select("picked", "prediction").collect()
+    for r in out:
+        assert r["prediction"] == pytest.approx(sum(t.predict(r["picked"]) for t in forest.trees) / TINY.forest_trees)
+    assert fitted.predict(train).agg(F.avg("yhat")).first()[0] == pytest.approx(train.agg(F.avg("y")).first()[0], rel=0.1)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
 )
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressionModel,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +20,17 @@ from wagelens import rules
 from wagelens.functions.keys import fold_of
 from wagelens.operators import regress, skills, stats, trees
 from wagelens.operators.clean import drop_null_target
-from wagelens.session import ensure_checkpoint_dir
+from wagelens.operators.lookup import small_enough
+from wagelens.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 TITLE, PLACE, COMPANY = "standardized_title", "standardized_location", "company"
 TARGET = "annual_salary"
 MAX_CATEGORIES = 10_000
 HASH_SLOTS = 1 << 14
+#: trees of a forest that are fitted at the same time
+TREES_AT_ONCE = 8
+#: feature sets a task of such a fit reads at least
+SETS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -140,47 +149,108 @@ class Fitted:
     importances: list[float]
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """Add ``yhat``; the rows need the category and skills columns."""
-        wide = skills.with_indicators(rows, self.skills)
-        out = self.steps.transform(wide).withColumnRenamed("prediction", "yhat")
-        return out.select(*rows.columns, "yhat")
+        """Add ``yhat``; the rows need the category and skills columns.
+
+        Rows with equal features get one prediction, made once.
+        """
+        spark = rows.sparkSession
+        inputs = sorted({c for c in rows.columns if c in (TITLE, PLACE, COMPANY, "skills")})
+        wide = skills.with_indicators(rows.select(*inputs).distinct(), self.skills)
+        out = self.steps.transform(wide).select(*inputs, F.col("prediction").alias("yhat"))
+        path = scratch_path(spark, "predicted")
+        out.write.parquet(path)
+        sets = spark.read.schema(out.schema).parquet(path)
+        side = (F.broadcast(sets) if small_enough(sets) else sets).select(*[F.col(c).alias(f"_{c}") for c in inputs], "yhat")
+        same = [rows[c].eqNullSafe(F.col(f"_{c}")) for c in inputs]
+        return rows.join(side, same).select(*[rows[c] for c in rows.columns], "yhat")
+
+
+def in_few_tasks(sets: DataFrame) -> DataFrame:
+    """Feature sets as a written table in as many tasks as they are worth, since a fit goes over them many times."""
+    spark = sets.sparkSession
+    path = scratch_path(spark, "feature_sets")
+    sets.write.parquet(path)
+    written = spark.read.schema(sets.schema).parquet(path)
+    return written.coalesce(written.count() // SETS_PER_TASK + 1)
+
+
+def bootstrap_sets(train: DataFrame, categories: list[str], settings: Settings, wanted: int) -> DataFrame:
+    """One row per distinct feature set with ``drawn``, the (tree, w, y) of the bootstraps of all trees in order.
+
+    A bootstrap takes each row a Poisson number of times with mean 1; w is how often it takes rows
+    of the set and y their mean target, which is all that splits minimising squared error see.
+    """
+    ship_package(train.sparkSession)
+    rows = train.select(
+        *categories, "skills", F.monotonically_increasing_id().alias("key"), F.col("y").alias("z"), F.lit(True).alias("train")
+    )
+    sums = trees.tree_sums(rows, [*categories, "skills"], wanted, True, settings.seed)
+    drawn = F.struct("tree", "w", F.try_divide("s", "w").alias("y"))
+    return sums.groupBy(*categories, "skills").agg(F.sort_array(F.collect_list(drawn)).alias("drawn"))
 
 
-def _forest(settings: Settings, trees: int, depth: int | None = None) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features", labelCol="y", numTrees=trees, maxDepth=depth or settings.forest_depth,
-        featureSubsetStrategy="all", seed=settings.seed,
-    )
+def fit_trees(sets: DataFrame, settings: Settings, wanted: int, features: str = "features") -> RandomForestRegressionModel:
+    """A forest of Spark ML from rows (drawn, features), several of its trees fitted at a time.
 
+    A bootstrap that takes no row gives no tree.
+    """
+    spark = sets.sparkSession
+    learner = DecisionTreeRegressor(
+        featuresCol=features, labelCol="y", weightCol="w", maxDepth=settings.forest_depth, seed=settings.seed
+    )
 
-def select_features(assembled: DataFrame, settings: Settings) -> VectorSlicer:
+    def fit(tree: int) -> DecisionTreeRegressionModel:
+        one = F.get("drawn", F.lit(tree))
+        return learner.fit(sets.select(features, one["w"].alias("w"), one["y"].alias("y")).where("w > 0"))
+
+    totals = sets.select(F.inline("drawn")).where(F.col("tree") < wanted).groupBy("tree").agg(F.sum("w").alias("w"))
+    with_rows = sorted(r["tree"] for r in totals.where("w > 0").collect())
+    with ThreadPool(TREES_AT_ONCE) as pool:
+        fitted = pool.map(inheritable_thread_target(spark)(fit), with_rows, chunksize=1)
+    context = spark.sparkContext
+    ml = context._jvm.org.apache.spark.ml.regression
+    parts = context._gateway.new_array(ml.DecisionTreeRegressionModel, len(fitted))
+    for i, tree in enumerate(fitted):
+        parts[i] = tree._java_obj
+    uid = RandomForestRegressionModel().uid
+    forest = RandomForestRegressionModel(ml.RandomForestRegressionModel(uid, parts, fitted[0].numFeatures))
+    forest._set(featuresCol=features, numTrees=len(fitted))  # predictions are sums over trees divided by numTrees
+    forest._transfer_params_to_java()
+    return forest
+
+
+def select_features(sets: DataFrame, settings: Settings) -> VectorSlicer:
     """Keep the features at least as important as the average one."""
-    scout = _forest(settings, settings.selection_trees).fit(assembled)
+    scout = fit_trees(sets, settings, settings.selection_trees)
     weights = scout.featureImportances.toArray()
     kept = [i for i, w in enumerate(weights) if w >= weights.mean()]
     return VectorSlicer(inputCol="features", outputCol="picked", indices=kept)
 
 
 def fit_forest(train: DataFrame, skill_list: list[str], settings: Settings, name: str = "random_forest") -> Fitted:
-    """Random forest, after feature selection where the settings ask for it."""
+    """Random forest, after feature selection where the settings ask for it.
+
+    Its trees grow on distinct feature sets, weighted by their bootstrap of the rows.
+    """
     ensure_checkpoint_dir(train.sparkSession)
+    cats = categories_of(settings)
     wide = skills.with_indicators(train, skill_list)
-    prepared = fit_features(wide, categories_of(settings), [skills.indicator_name(s) for s in skill_list])
-    assembled = prepared.transform(wide).select("y", "features").persist()
+    prepared = fit_features(wide, cats, [skills.indicator_name(s) for s in skill_list])
+    wanted = max(settings.forest_trees, settings.selection_trees if settings.select_features else 0)
+    drawn = in_few_tasks(bootstrap_sets(train, cats, settings, wanted))
+    sets = prepared.transform(skills.with_indicators(drawn, skill_list)).select("drawn", "features").persist()
     try:
-        names = feature_names(assembled)
+        names = feature_names(sets)
         stages = list(prepared.stages)
-        model = _forest(settings, settings.forest_trees)
-        data = assembled
         if settings.select_features:
-            picker = select_features(assembled, settings)
+            picker = select_features(sets, settings)
             names = [names[i] for i in picker.getIndices()]
             stages.append(picker)
-            data = picker.transform(assembled)
-            model = model.setFeaturesCol("picked")
-        fitted = model.fit(data)
+            fitted = fit_trees(picker.transform(sets), settings, settings.forest_trees, "picked")
+        else:
+            fitted = fit_trees(sets, settings, settings.forest_trees)
     finally:
-        assembled.unpersist()
+        sets.unpersist()
     steps = PipelineModel(stages=[*stages, fitted])
     return Fitted(name, steps, skill_list, names, fitted.featureImportances.toArray().tolist())
 
@@ -191,7 +261,7 @@ def fit_boosting(train: DataFrame, skill_list: list[str], settings: Settings, na
     cats = categories_of(settings)
     wide = skills.with_indicators(train, skill_list)
     prepared = fit_features(wide, cats, [skills.indicator_name(s) for s in skill_list])
-    merged = skills.with_indicators(merge_equal_rows(train, cats), skill_list)
+    merged = skills.with_indicators(in_few_tasks(merge_equal_rows(train, cats)), skill_list)
     data = prepared.transform(merged).select("y", "weight", "features").persist()
     try:
         names = feature_names(data)

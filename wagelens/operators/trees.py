@@ -12,6 +12,7 @@ so no tree is ever gathered and depth has no limit.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,17 +66,87 @@ def _draws(key: Column, tree: Column, seed: int) -> Column:
     return sum(((share >= F.lit(p)).cast("double") for p in _AT_MOST), F.lit(0.0))
 
 
+_P1, _P2, _P3, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+
+
+def _hash_on(hashed: np.ndarray, number: int) -> np.ndarray:
+    """``xxhash64`` of one more int column."""
+    h = (hashed + _P5 + np.uint64(4)) ^ (np.uint64(number & 0xFFFFFFFF) * _P1)
+    h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * _P2 + _P3
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def draws_of(hashed: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """``_draws`` of the rows whose keys have these hashes."""
+    with np.errstate(over="ignore"):
+        h = _hash_on(_hash_on(hashed, tree), seed)
+    share = (h & np.uint64((1 << 53) - 1)).astype(np.float64) / float(1 << 53)
+    return np.searchsorted(_AT_MOST, share, side="right").astype(np.float64)
+
+
+def _summed(batch: pa.RecordBatch, trees: int, bootstrap: bool, seed: int, kinds: pa.Array, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sums of one batch, by tree and kind of row."""
+    order = np.argsort(kind, kind="stable")
+    starts = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    z, train = batch["z"].to_numpy(zero_copy_only=False)[order], batch["train"].to_numpy(zero_copy_only=False)[order]
+    hashed = batch["hashed"].to_numpy()[order].view(np.uint64)
+    for tree in range(trees):
+        w = np.where(train, draws_of(hashed, tree, seed) if bootstrap else 1.0, 0.0)
+        taken = w > 0
+        s = np.add.reduceat(np.where(taken, w * z, 0.0), starts)
+        lo, hi = np.minimum.reduceat(np.where(taken, z, np.inf), starts), np.maximum.reduceat(np.where(taken, z, -np.inf), starts)
+        none = ~np.isfinite(lo)
+        yield pa.RecordBatch.from_arrays(
+            [kinds, pa.array(np.full(len(starts), tree, np.int32)), pa.array(np.add.reduceat(w, starts)), pa.array(s),
+             pa.array(lo, mask=none), pa.array(hi, mask=none)],
+            ["of", "tree", "w", "s", "lo", "hi"],
+        )
+
+
+#: rows a task sums before it sends on what it has
+SUMMED_ROWS = 400_000
+
+
+def tree_sums(rows: DataFrame, by: list[str], trees: int, bootstrap: bool, seed: int) -> DataFrame:
+    """(by, tree, w, s, lo, hi): the draws of rows equal in ``by``, and sum and bounds of their ``z``, for every tree.
+
+    ``rows``: the ``by`` columns, key, z, train.  Tasks draw and sum the rows they read, so what is
+    sent on grows with the distinct ``by``, at most with the rows.
+    """
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= SUMMED_ROWS:
+                yield from of_batches(held)
+                held, n = [], 0
+        if n:
+            yield from of_batches(held)
+
+    def of_batches(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        coded = batch["of"].dictionary_encode()
+        yield from _summed(batch, trees, bootstrap, seed, coded.dictionary, coded.indices.to_numpy())
+
+    of = F.to_json(F.struct(*by), {"ignoreNullFields": "false"})
+    types = rows.select(F.struct(*by).alias("of")).schema["of"].dataType
+    z = F.coalesce(F.col("z"), F.lit(0.0))
+    sent = rows.select(of.alias("of"), F.xxhash64("key").alias("hashed"), z.cast("double").alias("z"), F.coalesce("train", F.lit(False)).alias("train"))
+    parts = sent.mapInArrow(summed, "of string, tree int, w double, s double, lo double, hi double")
+    sums = parts.groupBy("of", "tree").agg(F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return sums.withColumn("of", F.from_json("of", types)).select("of.*", "tree", "w", "s", "lo", "hi")
+
+
 def _feature_sets(rows: DataFrame, moments: DataFrame, trees: int, bootstrap: bool, seed: int) -> DataFrame:
     """(grp, tree, node, items, w, s, lo, hi): one row per tree and distinct feature set; lo and hi bound its targets."""
     z = F.coalesce(F.try_divide(F.col("y") - F.col("mean"), F.col("spread")), F.lit(0.0))
     drawn = join_lookup(rows, moments, "grp").withColumn("z", z)
-    drawn = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    weight = _draws(F.col("key"), F.col("tree"), seed) if bootstrap else F.lit(1.0)
-    drawn = drawn.withColumn("w", F.when(F.col("train"), weight).otherwise(0.0))
-    taken = F.when(F.col("w") > 0, F.col("z"))
-    return drawn.groupBy("grp", "tree", F.lit("").alias("node"), "items").agg(
-        F.sum("w").alias("w"), F.coalesce(F.sum(F.col("w") * taken), F.lit(0.0)).alias("s"), F.min(taken).alias("lo"), F.max(taken).alias("hi")
-    )
+    sums = tree_sums(drawn, ["grp", "items"], trees, bootstrap, seed)
+    return sums.select("grp", "tree", F.lit("").alias("node"), "items", "w", "s", "lo", "hi")
 
 
 def _at_nodes(rows: DataFrame, nodes: DataFrame, how: str = "inner") -> DataFrame:
