@@ -154,3 +154,21 @@ def test_no_python_in_the_plan(spark):
 
 def test_entities():
     assert all(unescape(e) == c or e == "&nbsp;" for e, c in html.ENTITIES)
+
+
+def test_markup_from_a_tag_on_is_that_of_a_split(spark):
+    start = html.opening_tag("card")
+    pages = ["", "x", None, '<p class="card">a\n<p class="b card">😀b', 'x<p class="card">', '😀<p class="a <b card" class="card">c']
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    after = df.select(html._from(F.col("html"), start).alias("a"), F.get(F.split(F.concat(F.lit(" "), "html"), f"(?={start})", 2), F.lit(1)).alias("b"))
+    assert all(r.a == r.b for r in after.collect())
+    # a split compiles its pattern anew for every value
+    assert "split(" not in after.select("a")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hidden_elements_are_looked_for_only_where_the_text_is(spark):
+    df = spark.createDataFrame([('<article class="card"></article><div>No <!-- x -->jobs found</div>',)], "html string")
+    said = df.select(html.has_no_results(F.col("html"), BOARD).alias("x"))
+    assert said.first().x
+    plan = said._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("aggregate(")

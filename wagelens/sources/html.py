@@ -110,7 +110,7 @@ def _with(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _from(markup: Column, pattern: str) -> Column:
     """The markup from the first match of a pattern on, NULL without one."""
-    return F.get(F.split(F.concat(F.lit(" "), markup), f"(?={pattern})", 2), F.lit(1))
+    return F.nullif(F.regexp_extract(markup, f"(?:{pattern})(?s:.*)", 0), F.lit(""))
 
 
 def _tag_name(markup: Column) -> Column:
@@ -317,7 +317,8 @@ def has_no_results(html: Column, layout: BoardLayout) -> Column:
     What style sheets and scripts hide cannot be told from the markup.
     """
     texts = "|".join(re.escape(t) for t in rules.NO_RESULT_TEXTS)
-    said = shows(html, rf"<div\b[^<>]*>[^<]*({texts})")
+    text = rf"<div\b[^<>]*>[^<]*({texts})"
+    said = without_comments(html).rlike(text) & shows(html, text)  # few pages have it at all
     return said | ~html.rlike(layout.card_pattern or opening_tag(layout.card_class))
 
 
