@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
-    FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
+    FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressionModel,
@@ -31,6 +32,8 @@ HASH_SLOTS = 1 << 14
 TREES_AT_ONCE = 8
 #: feature sets a task of such a fit reads at least
 SETS_PER_TASK = 20_000
+#: models of folds that are fitted at the same time
+FITS_AT_ONCE = 6
 
 
 @dataclass(frozen=True)
@@ -60,26 +63,52 @@ def categories_of(settings: Settings) -> list[str]:
     return [TITLE, PLACE] + ([COMPANY] if settings.with_company else [])
 
 
-def _scaling(train: DataFrame, numeric: list[str]) -> SQLTransformer:
-    """Standardisation with the population spread of the train rows."""
+def _moments(train: DataFrame, numeric: list[str]) -> list[tuple[float | None, float | None]]:
+    """Mean and population spread of each column."""
     aggs = []
     for i, c in enumerate(numeric):
         aggs += [F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
     fitted = train.agg(*aggs).first()
+    return [(fitted[f"m{i}"], fitted[f"s{i}"]) for i in range(len(numeric))]
+
+
+def _weighted_moments(sets: DataFrame, numeric: list[str], weight: str) -> list[tuple[float | None, float | None]]:
+    """``_moments`` of the rows that the weighted sets stand for."""
+
+    def mean_of(value: Column, c: str) -> Column:
+        return F.try_divide(F.sum(F.col(weight) * value), F.sum(F.when(F.col(c).isNotNull(), F.col(weight))))
+
+    means = sets.agg(*[mean_of(F.col(c), c).alias(f"m{i}") for i, c in enumerate(numeric)]).first()
+    squares = [mean_of((F.col(c) - F.lit(means[f"m{i}"])) ** 2, c) for i, c in enumerate(numeric)]
+    spreads = [F.when(F.min(c) == F.max(c), 0.0).otherwise(F.sqrt(sq)).alias(f"s{i}") for i, (c, sq) in enumerate(zip(numeric, squares))]
+    fitted = sets.agg(*spreads).first()
+    return [(means[f"m{i}"], fitted[f"s{i}"]) for i in range(len(numeric))]
+
+
+def _scaling(train: DataFrame, numeric: list[str], weight: str | None = None) -> SQLTransformer:
+    """Standardisation with the population spread of the train rows."""
+    moments = _moments(train, numeric) if weight is None else _weighted_moments(train, numeric, weight)
     items = []
-    for i, c in enumerate(numeric):
-        mean, spread = fitted[f"m{i}"] or 0.0, fitted[f"s{i}"] or 0.0
+    for c, (mean, spread) in zip(numeric, moments):
+        mean, spread = mean or 0.0, spread or 0.0
         scaled = f"(`{c}` - {mean!r}D) / {spread!r}D" if spread else "0.0D"
         items.append(f"{scaled} AS `num_{c}`")
     return SQLTransformer(statement="SELECT *, " + ", ".join(items) + " FROM __THIS__")
 
 
-def fit_features(train: DataFrame, categorical: list[str], numeric: list[str]) -> PipelineModel:
+def _weighted_indexer(sets: DataFrame, column: str, weight: str) -> StringIndexerModel:
+    """What ``StringIndexer`` learns from the rows that the weighted sets stand for: labels by falling frequency, then by name."""
+    counts = sets.groupBy(column).agg(F.sum(weight).alias("n")).where(F.col(column).isNotNull()).collect()  # at most MAX_CATEGORIES or so
+    labels = [r[column] for r in sorted(counts, key=lambda r: (-r["n"], r[column].encode("utf-16-be")))]
+    return StringIndexerModel.from_labels(labels, column, f"ix_{column}", "keep")
+
+
+def fit_features(train: DataFrame, categorical: list[str], numeric: list[str], weight: str | None = None) -> PipelineModel:
     """One-hot categories and standardised numbers in one ``features`` vector.
 
     A category unseen in training is all zeros.  A column with more than
     10,000 categories is hashed instead, since its labels would otherwise be
-    gathered on the driver.
+    gathered on the driver.  With ``weight``, a row of ``train`` stands for so many.
     """
     train = train.na.fill(rules.FILL_CATEGORY, subset=categorical)
     sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
@@ -87,16 +116,17 @@ def fit_features(train: DataFrame, categorical: list[str], numeric: list[str]) -
     hashed = [c for c in categorical if c not in listed]
     stages, parts = [], []
     if listed:
-        stages += [
-            StringIndexer(inputCols=listed, outputCols=[f"ix_{c}" for c in listed], handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"ix_{c}" for c in listed], outputCols=[f"cat_{c}" for c in listed], dropLast=True),
-        ]
+        if weight is None:
+            stages.append(StringIndexer(inputCols=listed, outputCols=[f"ix_{c}" for c in listed], handleInvalid="keep"))
+        else:  # one model per column: PySpark pads label lists of unlike lengths with nulls
+            stages += [_weighted_indexer(train, c, weight) for c in listed]
+        stages.append(OneHotEncoder(inputCols=[f"ix_{c}" for c in listed], outputCols=[f"cat_{c}" for c in listed], dropLast=True))
         parts += [f"cat_{c}" for c in listed]
     for c in hashed:
         stages.append(FeatureHasher(inputCols=[c], outputCol=f"hash_{c}", numFeatures=HASH_SLOTS))
         parts.append(f"hash_{c}")
     if numeric:
-        stages.append(_scaling(train, numeric))
+        stages.append(_scaling(train, numeric, weight))
         parts += [f"num_{c}" for c in numeric]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return Pipeline(stages=stages).fit(train)
@@ -133,9 +163,19 @@ def merge_equal_rows(train: DataFrame, categories: list[str]) -> DataFrame:
     so boosting grows the same trees from these rows, of which there are as
     many as distinct feature sets, not postings.
     """
-    return train.groupBy(*categories, "skills").agg(
-        stats.exact_mean(F.col("y")).alias("y"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
+    return combined(sums_of_equal_rows(train, [*categories, "skills"]), categories)
+
+
+def sums_of_equal_rows(train: DataFrame, by: list[str]) -> DataFrame:
+    """(by, total, n, weight) of the rows equal in ``by``; ``n`` are those with a target."""
+    total = F.sum(F.col("y").cast(stats.MONEY)).alias("total")
+    return train.groupBy(*by).agg(total, F.count("y").alias("n"), F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def combined(sums: DataFrame, categories: list[str]) -> DataFrame:
+    """Merged rows from sums of any finer grouping."""
+    mean = F.try_divide(F.sum("total").cast("double"), F.sum("n"))
+    return sums.groupBy(*categories, "skills").agg(mean.alias("y"), F.sum("weight").alias("weight"))
 
 
 @dataclass
@@ -153,24 +193,32 @@ class Fitted:
 
         Rows with equal features get one prediction, made once.
         """
-        spark = rows.sparkSession
         inputs = sorted({c for c in rows.columns if c in (TITLE, PLACE, COMPANY, "skills")})
-        wide = skills.with_indicators(rows.select(*inputs).distinct(), self.skills)
-        out = self.steps.transform(wide).select(*inputs, F.col("prediction").alias("yhat"))
-        path = scratch_path(spark, "predicted")
-        out.write.parquet(path)
-        sets = spark.read.schema(out.schema).parquet(path)
-        side = (F.broadcast(sets) if small_enough(sets) else sets).select(*[F.col(c).alias(f"_{c}") for c in inputs], "yhat")
-        same = [rows[c].eqNullSafe(F.col(f"_{c}")) for c in inputs]
-        return rows.join(side, same).select(*[rows[c] for c in rows.columns], "yhat")
+        return with_predictions(rows, _written(self.predict_sets(rows.select(*inputs).distinct()), "predicted"), inputs)
+
+    def predict_sets(self, sets: DataFrame) -> DataFrame:
+        """Distinct feature sets with their ``yhat``."""
+        wide = skills.with_indicators(sets, self.skills)
+        return self.steps.transform(wide).select(*sets.columns, F.col("prediction").alias("yhat"))
+
+
+def with_predictions(rows: DataFrame, predicted: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the other columns of the predictions of their feature set."""
+    side = F.broadcast(predicted) if small_enough(predicted) else predicted
+    side = side.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = [rows[c].eqNullSafe(F.col(f"_{c}")) for c in on]
+    return rows.join(side, same).select(*[rows[c] for c in rows.columns], *[c for c in predicted.columns if c not in on])
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def in_few_tasks(sets: DataFrame) -> DataFrame:
     """Feature sets as a written table in as many tasks as they are worth, since a fit goes over them many times."""
-    spark = sets.sparkSession
-    path = scratch_path(spark, "feature_sets")
-    sets.write.parquet(path)
-    written = spark.read.schema(sets.schema).parquet(path)
+    written = _written(sets, "feature_sets")
     return written.coalesce(written.count() // SETS_PER_TASK + 1)
 
 
@@ -180,13 +228,22 @@ def bootstrap_sets(train: DataFrame, categories: list[str], settings: Settings,
     A bootstrap takes each row a Poisson number of times with mean 1; w is how often it takes rows
     of the set and y their mean target, which is all that splits minimising squared error see.
     """
+    return drawn_sets(bootstrap_sums(train, [*categories, "skills"], settings, wanted), categories)
+
+
+def bootstrap_sums(train: DataFrame, by: list[str], settings: Settings, wanted: int) -> DataFrame:
+    """(by, tree, w, s): draws and sum of targets of the rows equal in ``by``, for every tree."""
     ship_package(train.sparkSession)
-    rows = train.select(
-        *categories, "skills", F.monotonically_increasing_id().alias("key"), F.col("y").alias("z"), F.lit(True).alias("train")
-    )
-    sums = trees.tree_sums(rows, [*categories, "skills"], wanted, True, settings.seed)
+    rows = train.select(*by, F.monotonically_increasing_id().alias("key"), F.col("y").alias("z"), F.lit(True).alias("train"))
+    return trees.tree_sums(rows, by, wanted, True, settings.seed).select(*by, "tree", "w", "s")
+
+
+def drawn_sets(sums: DataFrame, categories: list[str]) -> DataFrame:
+    """``bootstrap_sets`` from sums of any grouping as fine or finer."""
+    by = [*categories, "skills"]
+    per_tree = sums.groupBy(*by, "tree").agg(F.sum("w").alias("w"), F.sum("s").alias("s"))
     drawn = F.struct("tree", "w", F.try_divide("s", "w").alias("y"))
-    return sums.groupBy(*categories, "skills").agg(F.sort_array(F.collect_list(drawn)).alias("drawn"))
+    return per_tree.groupBy(*by).agg(F.sort_array(F.collect_list(drawn)).alias("drawn"))
 
 
 def fit_trees(sets: DataFrame, settings: Settings, wanted: int, features: str = "features") -> RandomForestRegressionModel:
@@ -227,17 +284,30 @@ def select_features(sets: DataFrame, settings: Settings) -> VectorSlicer:
     return VectorSlicer(inputCol="features", outputCol="picked", indices=kept)
 
 
+def _prepared(merged: DataFrame, skill_list: list[str], settings: Settings) -> PipelineModel:
+    """The feature steps, learnt from merged rows, which tell of all rows by their weights."""
+    numeric = [skills.indicator_name(s) for s in skill_list]
+    return fit_features(skills.with_indicators(merged, skill_list), categories_of(settings), numeric, "weight")
+
+
+def trees_wanted(settings: Settings) -> int:
+    return max(settings.forest_trees, settings.selection_trees if settings.select_features else 0)
+
+
 def fit_forest(train: DataFrame, skill_list: list[str], settings: Settings, name: str = "random_forest") -> Fitted:
     """Random forest, after feature selection where the settings ask for it.
 
     Its trees grow on distinct feature sets, weighted by their bootstrap of the rows.
     """
-    ensure_checkpoint_dir(train.sparkSession)
     cats = categories_of(settings)
-    wide = skills.with_indicators(train, skill_list)
-    prepared = fit_features(wide, cats, [skills.indicator_name(s) for s in skill_list])
-    wanted = max(settings.forest_trees, settings.selection_trees if settings.select_features else 0)
-    drawn = in_few_tasks(bootstrap_sets(train, cats, settings, wanted))
+    drawn = bootstrap_sets(train, cats, settings, trees_wanted(settings))
+    return forest_on_sets(in_few_tasks(drawn), in_few_tasks(merge_equal_rows(train, cats)), skill_list, settings, name)
+
+
+def forest_on_sets(drawn: DataFrame, merged: DataFrame, skill_list: list[str], settings: Settings, name: str = "random_forest") -> Fitted:
+    """``fit_forest`` on the bootstrap sets and the merged rows of its train rows."""
+    ensure_checkpoint_dir(drawn.sparkSession)
+    prepared = _prepared(merged, skill_list, settings)
     sets = prepared.transform(skills.with_indicators(drawn, skill_list)).select("drawn", "features").persist()
     try:
         names = feature_names(sets)
@@ -257,12 +327,14 @@ def fit_forest(train: DataFrame, skill_list: list[str], settings: Settings, name
 
 def fit_boosting(train: DataFrame, skill_list: list[str], settings: Settings, name: str = "gradient_boosting") -> Fitted:
     """Gradient-boosted trees on the merged rows."""
-    ensure_checkpoint_dir(train.sparkSession)
-    cats = categories_of(settings)
-    wide = skills.with_indicators(train, skill_list)
-    prepared = fit_features(wide, cats, [skills.indicator_name(s) for s in skill_list])
-    merged = skills.with_indicators(in_few_tasks(merge_equal_rows(train, cats)), skill_list)
-    data = prepared.transform(merged).select("y", "weight", "features").persist()
+    merged = in_few_tasks(merge_equal_rows(train, categories_of(settings)))
+    return boosting_on_sets(merged, skill_list, settings, name)
+
+
+def boosting_on_sets(merged: DataFrame, skill_list: list[str], settings: Settings, name: str = "gradient_boosting") -> Fitted:
+    ensure_checkpoint_dir(merged.sparkSession)
+    prepared = _prepared(merged, skill_list, settings)
+    data = prepared.transform(skills.with_indicators(merged, skill_list)).select("y", "weight", "features").persist()
     try:
         names = feature_names(data)
         model = GBTRegressor(
@@ -298,14 +370,33 @@ def fit_both(train: DataFrame, skill_list: list[str], settings: Settings) -> lis
 
 
 def fold_scores(rows: DataFrame, skill_list: list[str], settings: Settings) -> DataFrame:
-    """Predictions for every train row by models that did not see its fold."""
+    """Predictions for every train row by models that did not see its fold.
+
+    The rows are drawn and summed once, by feature set and fold; the models of a fold are fitted
+    on the sums of the others.
+    """
     train = rows.where(F.col("split") == "train")
-    out = None
-    for fold in range(settings.folds):
-        for fitted in fit_both(train.where(F.col("fold") != fold), skill_list, settings):
-            held = scored(fitted, train.where(F.col("fold") == fold)).withColumn("split", F.lit("held_out"))
-            out = held if out is None else out.unionByName(held)
-    return out
+    cats = categories_of(settings)
+    by = [*cats, "skills"]
+    sums = _written(sums_of_equal_rows(train, [*by, "fold"]), "fold_sums")
+    draws = _written(bootstrap_sums(train, [*by, "fold"], settings, trees_wanted(settings)), "fold_draws")
+
+    def predicted(job: tuple[int, str]) -> DataFrame:
+        fold, kind = job
+        seen = F.col("fold") != fold
+        merged = in_few_tasks(combined(sums.where(seen), cats))
+        if kind == "forest":
+            fitted = forest_on_sets(in_few_tasks(drawn_sets(draws.where(seen), cats)), merged, skill_list, settings)
+        else:
+            fitted = boosting_on_sets(merged, skill_list, settings)
+        held = sums.where(~seen).select(*by, "fold").distinct()
+        return _written(fitted.predict_sets(held).withColumn("model", F.lit(fitted.name)), "predicted")
+
+    jobs = [(fold, kind) for fold in range(settings.folds) for kind in ("boosting", "forest")]
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        parts = pool.map(inheritable_thread_target(train.sparkSession)(predicted), jobs, chunksize=1)
+    held = with_predictions(train, reduce(DataFrame.unionByName, parts), [*by, "fold"])
+    return held.select("model", F.lit("held_out").alias("split"), "model_key", TITLE, "y", "yhat")
 
 
 def better_model(metrics: DataFrame, split: str) -> str:
