@@ -535,7 +535,9 @@ def _(spark, sf):
 
 @check("X9_quarantine", sql("SELECT 'usable' AS kind, count(title) AS n FROM v_cards UNION ALL SELECT 'no_title', count(*) - count(title) FROM v_cards", _CARDS))
 def _(spark, sf):
-    good, bad = html.quarantine(html.extract_cards(remote_pages(spark, sf), "html", html.REMOTE_BOARD))
+    cards = html.extract_cards(remote_pages(spark, sf), "html", html.REMOTE_BOARD).select("title")
+    path = tables.write_table(cards, scratch_path(spark, "card_titles"))  # pages are read once for both sides
+    good, bad = html.quarantine(spark.read.schema(cards.schema).parquet(path))
     count = F.count(F.lit(1)).alias("n")
     return good.agg(count).select(F.lit("usable").alias("kind"), "n").unionByName(
         bad.agg(count).select(F.lit("no_title").alias("kind"), "n")
