@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from wagelens import rules
 from wagelens.checks.base import check, cleaned, lit, postings, skilled, sql, sql_in, staged, table, text_table
 from wagelens.operators import clean, dedup, stats
+from wagelens.operators.layout import settled
 from wagelens.plans import fixtures
 from wagelens.session import scratch_path
 from wagelens.sources import csv_folder, html, search_terms, tables
@@ -478,7 +479,7 @@ def _(spark, sf):
 def _(spark, sf):
     cards = html.split_cards(remote_pages(spark, sf), "html", html.REMOTE_BOARD)
     tag = html.salary_tag(html.tags_in(F.col("card"), html.REMOTE_BOARD.tag_class))
-    return cards.select("page_id", "card_no", tag.alias("salary")).where("salary IS NOT NULL")
+    return settled(cards.select("page_id", "card_no", tag.alias("salary"))).where("salary IS NOT NULL")
 
 
 @check(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from wagelens import rules
 from wagelens.functions.text import any_of, strip
+from wagelens.operators.layout import settled
 
 
 @dataclass(frozen=True)
@@ -72,8 +73,9 @@ REMOTE_BOARD = BoardLayout(
         "location": "allowed-location",
     },
     field_patterns={
-        "description": r'(?s)<\w+\b[^>]*\bid="description-[^"]*"[^>]*>(.*?)</',
-        "posted_text": r'(?s)<\w+\b[^>]*\bid="date-diff-[^"]*"[^>]*>(.*?)</',
+        # the boundary before "id" is asked for behind it, as it takes longer to test than a text
+        "description": r'(?s)<\w+\b[^>]*id="(?<=\bid=")description-[^"]*"[^>]*>(.*?)</',
+        "posted_text": r'(?s)<\w+\b[^>]*id="(?<=\bid=")date-diff-[^"]*"[^>]*>(.*?)</',
     },
     tag_class="ifOAWE",
 )
@@ -113,16 +115,123 @@ def _from(markup: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(markup, f"(?:{pattern})(?s:.*)", 0), F.lit(""))
 
 
+def _before(markup: Column, mark: Column) -> Column:
+    """The markup up to the first mark, all of it without one."""
+    return F.call_function("substring_index", markup, mark, F.lit(1))
+
+
+def _last_tag(markup: Column) -> Column:
+    """What follows the last opening bracket, all of it without one."""
+    return F.call_function("substring_index", markup, F.lit("<"), F.lit(-1))
+
+
+def _shorter(part: Column, whole: Column) -> Column:
+    return F.octet_length(part) < F.octet_length(whole)
+
+
 def _tag_name(markup: Column) -> Column:
-    return F.regexp_extract(markup, r"^<(\w+)", 1)
+    return F.regexp_extract(_before(markup, F.lit(">")), r"^<(\w+)", 1)
+
+
+def _past_tag(markup: Column, tag: Column) -> Column:
+    """The markup without the tag that it begins with, if it begins with one; ``tag`` is what comes before its first ``>``."""
+    whole = F.startswith(markup, F.lit("<")) & ~F.contains(F.substr(tag, F.lit(2)), F.lit("<")) & _shorter(tag, markup)
+    return F.when(whole, F.substr(markup, F.length(tag) + 2)).otherwise(markup)
+
+
+# Elements are cut out in columns that build on each other: each is computed once, in generated code,
+# where functions on arrays of one element would be interpreted.
+
+def _with_elements(df: DataFrame, markup: str, classes: dict[str, str]) -> DataFrame:
+    """Add, by column, the markup from the first opening tag of a class on, NULL without one.
+
+    The name of the class is looked for as plain text, and the tag around it must be one that lists
+    it.  With a quote between the tag's bracket and the name no tag before it can reach to the name, so
+    that tag is the first; else the pattern goes through all of the markup.
+    """
+    m, of = F.col(markup), classes.items()
+    df = df.withColumns({f"_{c}_head": F.when(F.contains(m, F.lit(css)), _before(m, F.lit(css))) for c, css in of})
+    df = df.withColumns({f"_{c}_last": _last_tag(F.col(f"_{c}_head")) for c in classes})
+
+    def tag(c: str) -> Column:
+        head, last = F.col(f"_{c}_head"), F.col(f"_{c}_last")
+        sure = F.contains(head, F.lit("<")) & F.contains(last, F.lit('"'))
+        return F.when(sure, F.concat(F.lit("<"), last, F.substr(m, F.length(head) + 1)))
+
+    def found(c: str, start: str) -> Column:
+        plain, named = F.col(f"_{c}_tag"), F.col(f"_{c}_head").isNotNull()
+        searched = F.regexp_extract(m, f"(?:{start})(?s:.*)", 0)
+        return F.when(plain.rlike(f"^{start}"), plain).when(named & m.rlike(start), searched)
+
+    df = df.withColumns({f"_{c}_tag": tag(c) for c in classes})
+    df = df.withColumns({c: found(c, opening_tag(css)) for c, css in of})
+    return df.drop(*(f"_{c}_{part}" for c in classes for part in ("head", "last", "tag")))
+
+
+def _with_contents(df: DataFrame, columns: list[str], nested: bool = False) -> DataFrame:
+    """Replace elements by their contents: up to the first closing tag, or, ``nested``, up to the balancing one.
+
+    Most elements hold none of their own name: the first closing tag balances them, and nothing need be counted.
+    """
+    df = df.withColumns({f"_{c}_name": _tag_name(F.col(c)) for c in columns})
+    df = df.withColumns({f"_{c}_head": _before(F.col(c), F.concat(F.lit("</"), F.col(f"_{c}_name"), F.lit(">"))) for c in columns})
+    df = df.withColumns({f"_{c}_tag": _before(F.col(f"_{c}_head"), F.lit(">")) for c in columns})
+    if nested:
+        df = df.withColumns({f"_{c}_low": F.lower(F.substr(f"_{c}_head", F.lit(2))) for c in columns})
+
+    def content(c: str) -> Column:
+        head, tag = F.col(f"_{c}_head"), F.col(f"_{c}_tag")
+        closed, inside = _shorter(head, F.col(c)), _past_tag(head, tag)
+        if not nested:
+            return F.when(closed, inside)
+        name, low = F.lower(f"_{c}_name"), F.col(f"_{c}_low")
+        names = F.contains(low, F.concat(F.lit("<"), name)) | F.contains(low, F.concat(F.lit("</"), name))
+        return F.when(closed & ~names & ~F.endswith(tag, F.lit("/")) & ~name.isin(VOID_TAGS), inside).otherwise(balanced(F.col(c)))
+
+    df = df.withColumns({c: content(c) for c in columns})
+    return df.drop(*(f"_{c}_{part}" for c in columns for part in ("name", "head", "tag", "low")))
+
+
+def _each(markup: Column, css_class: str) -> Column:
+    """The markup from each opening tag of a class up to the next one, as an array.
+
+    As in ``_with_elements``, tags are found by the plain name; where any place of it is no class of the
+    tag right before it, the pattern goes through all of the markup.
+    """
+    start, name = opening_tag(css_class), re.escape(css_class)
+
+    def of_pieces(x: Column) -> Column:
+        tags = F.transform(x["pieces"], lambda piece: _last_tag(piece))
+        return _with(F.struct(x["m"].alias("m"), x["pieces"].alias("pieces"), tags.alias("tags")), of_tags)
+
+    def of_tags(x: Column) -> Column:
+        pieces, tags = x["pieces"], x["tags"]
+
+        def element(piece: Column, n: Column) -> Column:
+            tag = F.get(tags, n)
+            lists = F.contains(F.get(pieces, n), F.lit("<")) & tag.rlike(r'^\w+\b[^<>]*class="(?:[^"]*\s)?\z') & piece.rlike(r'^(?:\s[^"]*)?"')
+            rest = F.when(n + 2 == F.size(pieces), piece).otherwise(F.substr(piece, F.lit(1), F.length(piece) - F.length(F.get(tags, n + 1)) - 1))
+            return F.when(lists, F.concat(F.lit("<"), tag, F.lit(css_class), rest))
+
+        found = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), element)
+        return _with(found, lambda all_of: F.when(F.forall(all_of, lambda e: e.isNotNull()), all_of).otherwise(searched(x["m"])))
+
+    def searched(m: Column) -> Column:
+        return F.filter(F.split(m, f"(?={start})"), lambda piece: piece.rlike(f"^{start}"))
+
+    # the name between blanks or quotes; plain text comes first, which Java looks for in leaps
+    pieces = F.split(markup, rf'{name}(?<=[\s"]{name})(?=[\s"])')
+    return _with(F.struct(markup.alias("m"), pieces.alias("pieces")), of_pieces)
 
 
 def _up_to_closing(markup: Column) -> Column:
     """Content of the element that ``markup`` begins with, up to the first closing tag of its name; NULL without one."""
 
     def content(m: Column) -> Column:
-        closing = F.concat(F.lit("</"), _tag_name(m), F.lit(">"))
-        return F.when(F.instr(m, closing) > 0, F.regexp_replace(F.call_function("substring_index", m, closing, F.lit(1)), "^<[^<>]*>", ""))
+        return _with(F.struct(m.alias("m"), _before(m, F.concat(F.lit("</"), _tag_name(m), F.lit(">"))).alias("head")), closed)
+
+    def closed(x: Column) -> Column:
+        return F.when(_shorter(x["head"], x["m"]), _past_tag(x["head"], _before(x["head"], F.lit(">"))))
 
     return _with(markup, content)
 
@@ -184,7 +293,7 @@ def without_comments(html: Column) -> Column:
         closed = F.instr(piece, F.lit("-->"))
         return F.when(n == 0, piece).when(closed > 0, F.substr(piece, closed + 3)).otherwise("")
 
-    return F.array_join(F.transform(F.split(html, "<!--"), rest), "")
+    return F.when(F.contains(html, F.lit("<!--")), F.array_join(F.transform(F.split(html, "<!--"), rest), "")).otherwise(html)
 
 
 def cards_in(html: Column, layout: BoardLayout) -> Column:
@@ -195,8 +304,7 @@ def cards_in(html: Column, layout: BoardLayout) -> Column:
     """
     if layout.card_pattern:
         return F.regexp_extract_all(html, F.lit(layout.card_pattern), F.lit(0))
-    start = opening_tag(layout.card_class)
-    return F.filter(F.split(html, f"(?={start})"), lambda piece: piece.rlike(f"^{start}"))
+    return _each(html, layout.card_class)
 
 
 def split_cards(df: DataFrame, html: str, layout: BoardLayout) -> DataFrame:
@@ -223,9 +331,7 @@ def salary_tag(tags: Column) -> Column:
 
 def tags_in(card: Column, css_class: str) -> Column:
     """Texts of all elements of a class, in page order."""
-    start = opening_tag(css_class)
-    found = F.filter(F.split(card, f"(?={start})"), lambda piece: piece.rlike(f"^{start}"))
-    inner = F.filter(F.transform(found, _up_to_closing), lambda t: t.isNotNull())
+    inner = F.filter(F.transform(_each(card, css_class), _up_to_closing), lambda t: t.isNotNull())
     return F.transform(inner, lambda t: strip(F.regexp_replace(t, "<[^<>]*>", "")))
 
 
@@ -235,15 +341,17 @@ def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null
     A card without a title is kept with a NULL title, so that ``quarantine``
     can count it.
     """
-    cards = split_cards(df, html, layout)
     card = F.col("card")
+    elements = {f"_{name}": css_class for name, css_class in layout.field_classes.items()}
+    cards = _with_elements(split_cards(df, html, layout), "card", elements)
     fields = {}
-    for name, css_class in layout.field_classes.items():
-        fields[name] = visible_text(_up_to_closing(_from(card, opening_tag(css_class))))
     if layout.card_class:
-        title_tag = F.regexp_extract(card, opening_tag(layout.field_classes["title"]) + "[^<>]*>", 0)
-        fields["url"] = F.nullif(F.regexp_extract(title_tag, r'\bhref="([^"]*)"', 1), F.lit(""))
-        fields["job_id"] = F.nullif(F.regexp_extract(card, r'^<\w+\b[^<>]*\bid="([^"]*)"', 1), F.lit(""))
+        title_tag = F.regexp_extract("_title", opening_tag(layout.field_classes["title"]) + "[^<>]*>", 0)
+        cards = cards.withColumns({"_title_tag": title_tag, "_id": F.regexp_extract(card, r'^<\w+\b[^<>]*\bid="([^"]*)"', 1)})
+        fields["url"] = F.nullif(F.regexp_extract("_title_tag", r'\bhref="([^"]*)"', 1), F.lit(""))
+        fields["job_id"] = F.nullif(F.col("_id"), F.lit(""))
+    cards = _with_contents(cards, list(elements))
+    fields = {name: visible_text(F.col(f"_{name}")) for name in layout.field_classes} | fields
     for name, pattern in layout.field_patterns.items():
         raw = F.regexp_extract(card, pattern, 1)
         fields[name] = F.nullif(strip(raw), F.lit("")) if name in layout.attributes else visible_text(raw)
@@ -252,7 +360,7 @@ def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null
         found = found.withColumn("agency", F.coalesce("agency", company_in(F.col("description"))))
     if layout.tag_class:
         found = found.withColumn("salary", salary_tag(tags_in(card, layout.tag_class)))
-    found = found.drop("card")
+    found = settled(found.drop("card", "_title_tag", "_id", *elements))
     if missing_as_null:
         return found
     may_miss = ("agency", "company", "location", "salary", "closing_date", "posted_text")
@@ -396,18 +504,14 @@ def extract_nested_cards(df: DataFrame, page: str, html: str, layout: BoardLayou
     class the first counts; the address is that of the first field with a link.
     """
     pages = df.select(page, without_comments(F.col(html)).alias("_html"))
-    cards = split_cards(pages, "_html", layout).withColumn("_inner", balanced(F.col("card")))
-    names = list(layout.field_classes)
-    found = cards.select(
-        page, "card_no", F.regexp_extract("card", r'^<\w+\b[^<>]*\bid="([^"]*)"', 1).alias("_id"),
-        *(_from(F.col("_inner"), opening_tag(c)).alias(f"_{f}") for f, c in layout.field_classes.items()),
-    )
-    link = [
-        F.struct((-F.length(f"_{f}")).alias("at"), F.nullif(F.regexp_extract(f"_{f}", r'^<[^<>]*\bhref="([^"]*)"', 1), F.lit("")).alias("href"))
-        for f in names
-    ]
-    links = F.filter(F.array(*link), lambda x: x["href"].isNotNull())  # what is longer begins earlier
-    return found.select(
-        page, "card_no", F.nullif(strip(F.col("_id")), F.lit("")).alias("job_id"), strip(F.array_min(links)["href"]).alias("url"),
-        *(visible_text(balanced(F.col(f"_{f}"))).alias(f) for f in names),
-    )
+    cards = split_cards(pages, "_html", layout).withColumn("_id", F.regexp_extract("card", r'^<\w+\b[^<>]*\bid="([^"]*)"', 1))
+    elements = {f"_{name}": css_class for name, css_class in layout.field_classes.items()}
+    found = _with_elements(_with_contents(cards, ["card"], nested=True), "card", elements).drop("card")
+    found = found.withColumns({f"{e}_href": F.regexp_extract(e, r'^<[^<>]*\bhref="([^"]*)"', 1) for e in elements})
+    # what is longer begins earlier
+    links = [F.when(F.col(f"{e}_href") != "", F.struct((-F.length(e)).alias("at"), F.col(f"{e}_href").alias("href"))) for e in elements]
+    found = _with_contents(found.withColumn("_url", F.array_min(F.array(*links))["href"]), list(elements), nested=True)
+    return settled(found.select(
+        page, "card_no", F.nullif(strip(F.col("_id")), F.lit("")).alias("job_id"), strip(F.col("_url")).alias("url"),
+        *(visible_text(F.col(f"_{name}")).alias(name) for name in layout.field_classes),
+    ))
