@@ -140,7 +140,8 @@ def _past_tag(markup: Column, tag: Column) -> Column:
 
 
 # Elements are cut out in columns that build on each other: each is computed once, in generated code,
-# where functions on arrays of one element would be interpreted.
+# where functions on arrays of one element would be interpreted.  A few such functions stand at the
+# beginnings, since they end a stage of generated code: what gets too long is not compiled by the JVM.
 
 def _with_elements(df: DataFrame, markup: str, classes: dict[str, str]) -> DataFrame:
     """Add, by column, the markup from the first opening tag of a class on, NULL without one.
@@ -150,7 +151,11 @@ def _with_elements(df: DataFrame, markup: str, classes: dict[str, str]) -> DataF
     that tag is the first; else the pattern goes through all of the markup.
     """
     m, of = F.col(markup), classes.items()
-    df = df.withColumns({f"_{c}_head": F.when(F.contains(m, F.lit(css)), _before(m, F.lit(css))) for c, css in of})
+
+    def head_of(css: str) -> Callable[[Column], Column]:
+        return lambda x: F.when(F.contains(x, F.lit(css)), _before(x, F.lit(css)))
+
+    df = df.withColumns({f"_{c}_head": _with(m, head_of(css)) for c, css in of})
     df = df.withColumns({f"_{c}_last": _last_tag(F.col(f"_{c}_head")) for c in classes})
 
     def tag(c: str) -> Column:
@@ -173,7 +178,7 @@ def _with_contents(df: DataFrame, columns: list[str], nested: bool = False) -> D
 
     Most elements hold none of their own name: the first closing tag balances them, and nothing need be counted.
     """
-    df = df.withColumns({f"_{c}_name": _tag_name(F.col(c)) for c in columns})
+    df = df.withColumns({f"_{c}_name": _with(F.col(c), _tag_name) for c in columns})
     df = df.withColumns({f"_{c}_head": _before(F.col(c), F.concat(F.lit("</"), F.col(f"_{c}_name"), F.lit(">"))) for c in columns})
     df = df.withColumns({f"_{c}_tag": _before(F.col(f"_{c}_head"), F.lit(">")) for c in columns})
     if nested:
@@ -326,7 +331,8 @@ def company_in(description: Column) -> Column:
 
 def salary_tag(tags: Column) -> Column:
     """First tag that names pay, else NULL."""
-    return F.try_element_at(F.filter(tags, lambda t: any_of(F.lower(t), rules.SALARY_TAG_WORDS)), F.lit(1))
+    words = "|".join(re.escape(w) for w in rules.SALARY_TAG_WORDS)
+    return F.try_element_at(F.filter(tags, lambda t: F.lower(t).rlike(words)), F.lit(1))
 
 
 def tags_in(card: Column, css_class: str) -> Column:
