@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from wagelens.operators import components, dedup
+from wagelens.operators.components import connected
 
 SCHEMA = "url string, title string, company string, snapshot int, seq int"
 
@@ -54,3 +57,15 @@ def test_components_of_nothing_and_loops(spark):
     assert components.connected(edges).count() == 0 and components.connected(edges.limit(0)).count() == 0
     edges = spark.createDataFrame([("d", "c"), ("c", "d"), ("c", "b"), ("x", "y")], "a string, b string")
     assert sorted(map(tuple, components.connected(edges).collect())) == [("b", "b"), ("c", "b"), ("d", "b"), ("x", "x"), ("y", "x")]
+
+
+def test_links_are_numbers_that_tell_keys_apart(spark, monkeypatch):
+    df = spark.createDataFrame([("x", None), ("y", "x"), ("z", "w"), (None, None)], "a string, b string")
+    clash = lambda key, seed: F.length(key).cast("long") if seed == 0 else F.xxhash64(key)
+    monkeypatch.setattr(dedup, "_number", clash)
+    assert dedup.distinct_seed(df, ["a", "b"], [0, 3]) == 3
+    seen = []
+    monkeypatch.setattr(dedup, "connected", lambda edges: seen.append(edges.dtypes) or connected(edges))
+    rows = spark.createDataFrame([(1, "u", "t", "s1"), (2, "u", "v", "s2"), (3, None, "v", "s3"), (4, None, None, "s4")], "n int, url string, title string, s string")
+    assert sorted(r.n for r in dedup.linked_across_sources(rows, "s", "n").collect()) == [3, 4]
+    assert seen == [[("a", "bigint"), ("b", "bigint")]]

@@ -1,4 +1,4 @@
-"""Connected components of a graph of text keys, in DataFrame operations.
+"""Connected components of a graph of text keys or numbers, in DataFrame operations.
 
 Every round keeps, for each node, a link to the least node it knows of, and then lets the
 nodes it knew link to that one instead.  Larger neighbours and smaller ones take turns, so
