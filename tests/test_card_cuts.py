@@ -51,3 +51,9 @@ def test_filters_stay_after_costly_columns(spark, small):
     for name, part in (("X4_salary_tag", "annually"), ("X3_company_in_text", "company-name, 1"), ("X9_harvest", "sc-jv5lm6-13, 1")):
         plan = catalog.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count(part) == 1, name
+
+
+def test_helper_columns_take_no_names_of_the_pages(spark):
+    pages = spark.createDataFrame([(1, 2, 3, '<p class="card" id="J"><b class="t">x</b></p>')], "_id int, _title int, _row int, html string")
+    found = html.extract_cards(pages, "html", html.BoardLayout(sentinel="", card_class="card", field_classes={"title": "t"}))
+    assert found.select("_id", "_title", "_row", "title", "job_id").collect() == [(1, 2, 3, "x", "J")]

@@ -348,16 +348,16 @@ def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null
     can count it.
     """
     card = F.col("card")
-    elements = {f"_{name}": css_class for name, css_class in layout.field_classes.items()}
+    elements = {f"_cut_{name}": css_class for name, css_class in layout.field_classes.items()}
     cards = _with_elements(split_cards(df, html, layout), "card", elements)
     fields = {}
     if layout.card_class:
-        title_tag = F.regexp_extract("_title", opening_tag(layout.field_classes["title"]) + "[^<>]*>", 0)
-        cards = cards.withColumns({"_title_tag": title_tag, "_id": F.regexp_extract(card, r'^<\w+\b[^<>]*\bid="([^"]*)"', 1)})
-        fields["url"] = F.nullif(F.regexp_extract("_title_tag", r'\bhref="([^"]*)"', 1), F.lit(""))
-        fields["job_id"] = F.nullif(F.col("_id"), F.lit(""))
+        title_tag = F.regexp_extract("_cut_title", opening_tag(layout.field_classes["title"]) + "[^<>]*>", 0)
+        cards = cards.withColumns({"_cut_title_tag": title_tag, "_cut_id": F.regexp_extract(card, r'^<\w+\b[^<>]*\bid="([^"]*)"', 1)})
+        fields["url"] = F.nullif(F.regexp_extract("_cut_title_tag", r'\bhref="([^"]*)"', 1), F.lit(""))
+        fields["job_id"] = F.nullif(F.col("_cut_id"), F.lit(""))
     cards = _with_contents(cards, list(elements))
-    fields = {name: visible_text(F.col(f"_{name}")) for name in layout.field_classes} | fields
+    fields = {name: visible_text(F.col(f"_cut_{name}")) for name in layout.field_classes} | fields
     for name, pattern in layout.field_patterns.items():
         raw = F.regexp_extract(card, pattern, 1)
         fields[name] = F.nullif(strip(raw), F.lit("")) if name in layout.attributes else visible_text(raw)
@@ -366,7 +366,7 @@ def extract_cards(df: DataFrame, html: str, layout: BoardLayout, missing_as_null
         found = found.withColumn("agency", F.coalesce("agency", company_in(F.col("description"))))
     if layout.tag_class:
         found = found.withColumn("salary", salary_tag(tags_in(card, layout.tag_class)))
-    found = settled(found.drop("card", "_title_tag", "_id", *elements))
+    found = settled(found.drop("card", "_cut_title_tag", "_cut_id", *elements))
     if missing_as_null:
         return found
     may_miss = ("agency", "company", "location", "salary", "closing_date", "posted_text")
@@ -510,14 +510,14 @@ def extract_nested_cards(df: DataFrame, page: str, html: str, layout: BoardLayou
     class the first counts; the address is that of the first field with a link.
     """
     pages = df.select(page, without_comments(F.col(html)).alias("_html"))
-    cards = split_cards(pages, "_html", layout).withColumn("_id", F.regexp_extract("card", r'^<\w+\b[^<>]*\bid="([^"]*)"', 1))
-    elements = {f"_{name}": css_class for name, css_class in layout.field_classes.items()}
+    cards = split_cards(pages, "_html", layout).withColumn("_cut_id", F.regexp_extract("card", r'^<\w+\b[^<>]*\bid="([^"]*)"', 1))
+    elements = {f"_cut_{name}": css_class for name, css_class in layout.field_classes.items()}
     found = _with_elements(_with_contents(cards, ["card"], nested=True), "card", elements).drop("card")
     found = found.withColumns({f"{e}_href": F.regexp_extract(e, r'^<[^<>]*\bhref="([^"]*)"', 1) for e in elements})
     # what is longer begins earlier
     links = [F.when(F.col(f"{e}_href") != "", F.struct((-F.length(e)).alias("at"), F.col(f"{e}_href").alias("href"))) for e in elements]
-    found = _with_contents(found.withColumn("_url", F.array_min(F.array(*links))["href"]), list(elements), nested=True)
+    found = _with_contents(found.withColumn("_cut_url", F.array_min(F.array(*links))["href"]), list(elements), nested=True)
     return settled(found.select(
-        page, "card_no", F.nullif(strip(F.col("_id")), F.lit("")).alias("job_id"), strip(F.col("_url")).alias("url"),
-        *(visible_text(F.col(f"_{name}")).alias(name) for name in layout.field_classes),
+        page, "card_no", F.nullif(strip(F.col("_cut_id")), F.lit("")).alias("job_id"), strip(F.col("_cut_url")).alias("url"),
+        *(visible_text(F.col(f"_cut_{name}")).alias(name) for name in layout.field_classes),
     ))
