@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wagelens import rules
 from wagelens.checks.base import (
     ANNUAL_SQL, LOCATION_SQL, PERIOD_SQL, TITLE_SQL, VALUE_REFERENCE_SQL, VALUE_SQL, check, cleaned, cleaned_from_text, lit,
-    postings, skilled, sql, sql_in, sql_list, sql_mean, sql_rules, table,
+    postings, read_once, skilled, sql, sql_in, sql_list, sql_mean, sql_rules, table,
 )
 from wagelens.functions import text
 from wagelens.operators import clean, lookup, skills, stats
@@ -253,7 +253,7 @@ _MEANS = ", ".join(f"({lit(t)}, {m})" for t, m in rules.MEAN_BY_TITLE.items() if
 def _(spark, sf):
     rows = [(t, m) for t, m in rules.MEAN_BY_TITLE.items() if t != "ai engineer"]
     means = spark.createDataFrame(rows, "standardized_title string, mean_salary bigint")
-    df = cleaned(spark, sf).select("posting_id", "standardized_title")
+    df = read_once(spark, sf, "posting_id", "standardized_title")
     joined = lookup.value_or_default(
         df, means, "standardized_title", "mean_salary", F.lit(rules.MEAN_DEFAULT).cast("bigint")
     )
@@ -315,6 +315,6 @@ _DEFAULTS = ", ".join(f"({lit(t)}, {sql_list(s)})" for t, s in rules.DEFAULT_SKI
 def _(spark, sf):
     rows = list(rules.DEFAULT_SKILLS_BY_TITLE.items())
     defaults = spark.createDataFrame(rows, "standardized_title string, s array<string>")
-    df = cleaned(spark, sf).select("posting_id", "standardized_title")
+    df = read_once(spark, sf, "posting_id", "standardized_title")
     joined = lookup.join_lookup(df, defaults, "standardized_title")
     return joined.select("posting_id", F.coalesce(F.array_join("s", ","), F.lit("")).alias("skills"))
