@@ -435,10 +435,14 @@ def fit_deep_forest(rows: DataFrame, settings: Settings, seed: int = rules.SPLIT
     than the average in a first forest are left out.
     """
     prepared = item_rows(rows, categories_of(settings))
+    drawn = trees.draw_sets(prepared, trees_wanted(settings), seed=seed)
     if settings.select_features:
-        scout = trees.fit_forest(prepared, settings.selection_trees, seed=seed)
-        prepared = trees.select_important(prepared, scout.importances)
-    forest = trees.fit_forest(prepared, settings.forest_trees, seed=seed)
+        scout = trees.forest_on(drawn, settings.selection_trees)
+        drawn, left = trees.without_unimportant(drawn, scout.importances)
+    forest = trees.forest_on(drawn, settings.forest_trees)
+    if settings.select_features:  # predictions by what a row shows, not by what is left of it
+        whole = left.join(forest.predictions, ["grp", "items"]).select("grp", F.col("whole").alias("items"), "yhat")
+        forest = replace(forest, predictions=whole)
     return trees.score_rows(prepared, forest).select(*rows.columns, "yhat"), forest.importances
 
 

@@ -12,6 +12,7 @@ so no tree is ever gathered and depth has no limit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,8 @@ PLACES = 12
 #: chances of at most 0, 1, 2, ... draws of a row by a bootstrap of a large table
 _AT_MOST = [0.36787944117144233, 0.73575888234288467, 0.91969860292860584, 0.98101184312384626,
             0.99634015317265634, 0.99940581518241833, 0.99991675885070620, 0.99998975080332532, 0.99999887479740220]
+#: the same as whole numbers of 53 bits
+_LEAST = [np.uint64(math.ceil(p * (1 << 53))) for p in _AT_MOST]
 _TASK = pa.schema([("grp", pa.string()), ("tree", pa.int32()), ("items", pa.list_(pa.string())), ("z", pa.float64()), ("feature", pa.string()), ("gain", pa.float64())])
 _OUT = "grp string, tree int, items array<string>, z double, feature string, gain double"
 
@@ -43,6 +46,17 @@ class Forest:
     importances: DataFrame
 
 
+@dataclass
+class Drawn:
+    """Rows drawn for a number of trees and summed by feature set, one row per tree and distinct set.
+
+    ``sets``: (grp, tree, node, items, w, s, lo, hi, n), n rows of the set train; ``moments``: (grp, mean, spread).
+    """
+
+    sets: DataFrame
+    moments: DataFrame
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -82,26 +96,37 @@ def draws_of(hashed: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """``_draws`` of the rows whose keys have these hashes."""
     with np.errstate(over="ignore"):
         h = _hash_on(_hash_on(hashed, tree), seed)
-    share = (h & np.uint64((1 << 53) - 1)).astype(np.float64) / float(1 << 53)
-    return np.searchsorted(_AT_MOST, share, side="right").astype(np.float64)
+    share = h & np.uint64((1 << 53) - 1)
+    draws = np.zeros(len(share), np.uint8)
+    for least in _LEAST:
+        draws += share >= least
+    return draws.astype(np.float64)
 
 
 def _summed(batch: pa.RecordBatch, trees: int, bootstrap: bool, seed: int, kinds: pa.Array, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sums of one batch, by tree and kind of row."""
-    order = np.argsort(kind, kind="stable")
-    starts = np.flatnonzero(np.diff(kind[order], prepend=-1))
-    z, train = batch["z"].to_numpy(zero_copy_only=False)[order], batch["train"].to_numpy(zero_copy_only=False)[order]
-    hashed = batch["hashed"].to_numpy()[order].view(np.uint64)
+    trained = np.flatnonzero(batch["train"].to_numpy(zero_copy_only=False))
+    trained = trained[np.argsort(kind[trained], kind="stable")]
+    starts = np.flatnonzero(np.diff(kind[trained], prepend=-1))
+    at = kind[trained][starts]  # the kinds with train rows; the others have no sums
+    z, hashed = batch["z"].to_numpy(zero_copy_only=False)[trained], batch["hashed"].to_numpy()[trained].view(np.uint64)
+
+    def by_kind(add: np.ufunc, values: np.ndarray, none: float = 0.0) -> np.ndarray:
+        out = np.full(len(kinds), none)
+        if len(starts):
+            out[at] = add.reduceat(values, starts)
+        return out
+
+    n = pa.array(by_kind(np.add, np.ones(len(z))))
     for tree in range(trees):
-        w = np.where(train, draws_of(hashed, tree, seed) if bootstrap else 1.0, 0.0)
+        w = draws_of(hashed, tree, seed) if bootstrap else np.ones(len(z))
         taken = w > 0
-        s = np.add.reduceat(np.where(taken, w * z, 0.0), starts)
-        lo, hi = np.minimum.reduceat(np.where(taken, z, np.inf), starts), np.maximum.reduceat(np.where(taken, z, -np.inf), starts)
+        lo, hi = by_kind(np.minimum, np.where(taken, z, np.inf), np.inf), by_kind(np.maximum, np.where(taken, z, -np.inf), -np.inf)
         none = ~np.isfinite(lo)
         yield pa.RecordBatch.from_arrays(
-            [kinds, pa.array(np.full(len(starts), tree, np.int32)), pa.array(np.add.reduceat(w, starts)), pa.array(s),
-             pa.array(lo, mask=none), pa.array(hi, mask=none)],
-            ["of", "tree", "w", "s", "lo", "hi"],
+            [kinds, pa.array(np.full(len(kinds), tree, np.int32)), pa.array(by_kind(np.add, w)),
+             pa.array(by_kind(np.add, np.where(taken, w * z, 0.0))), pa.array(lo, mask=none), pa.array(hi, mask=none), n],
+            ["of", "tree", "w", "s", "lo", "hi", "n"],
         )
 
 
@@ -110,7 +135,7 @@ SUMMED_ROWS = 400_000
 
 
 def tree_sums(rows: DataFrame, by: list[str], trees: int, bootstrap: bool, seed: int) -> DataFrame:
-    """(by, tree, w, s, lo, hi): the draws of rows equal in ``by``, and sum and bounds of their ``z``, for every tree.
+    """(by, tree, w, s, lo, hi, n): the draws of rows equal in ``by``, sum and bounds of their ``z``, and the train rows, for every tree.
 
     ``rows``: the ``by`` columns, key, z, train.  Tasks draw and sum the rows they read, so what is
     sent on grows with the distinct ``by``, at most with the rows.
@@ -136,17 +161,17 @@ def tree_sums(rows: DataFrame, by: list[str], trees: int, bootstrap: bool, seed:
     types = rows.select(F.struct(*by).alias("of")).schema["of"].dataType
     z = F.coalesce(F.col("z"), F.lit(0.0))
     sent = rows.select(of.alias("of"), F.xxhash64("key").alias("hashed"), z.cast("double").alias("z"), F.coalesce("train", F.lit(False)).alias("train"))
-    parts = sent.mapInArrow(summed, "of string, tree int, w double, s double, lo double, hi double")
-    sums = parts.groupBy("of", "tree").agg(F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return sums.withColumn("of", F.from_json("of", types)).select("of.*", "tree", "w", "s", "lo", "hi")
+    parts = sent.mapInArrow(summed, "of string, tree int, w double, s double, lo double, hi double, n double")
+    sums = parts.groupBy("of", "tree").agg(F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
+    return sums.withColumn("of", F.from_json("of", types)).select("of.*", "tree", "w", "s", "lo", "hi", "n")
 
 
 def _feature_sets(rows: DataFrame, moments: DataFrame, trees: int, bootstrap: bool, seed: int) -> DataFrame:
-    """(grp, tree, node, items, w, s, lo, hi): one row per tree and distinct feature set; lo and hi bound its targets."""
+    """(grp, tree, node, items, w, s, lo, hi, n): one row per tree and distinct feature set; lo and hi bound its targets."""
     z = F.coalesce(F.try_divide(F.col("y") - F.col("mean"), F.col("spread")), F.lit(0.0))
     drawn = join_lookup(rows, moments, "grp").withColumn("z", z)
     sums = tree_sums(drawn, ["grp", "items"], trees, bootstrap, seed)
-    return sums.select("grp", "tree", F.lit("").alias("node"), "items", "w", "s", "lo", "hi")
+    return sums.select("grp", "tree", F.lit("").alias("node"), "items", "w", "s", "lo", "hi", "n")
 
 
 def _at_nodes(rows: DataFrame, nodes: DataFrame, how: str = "inner") -> DataFrame:
@@ -222,10 +247,10 @@ def _grow(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _grown(sets: DataFrame, hand_over: int) -> DataFrame:
-    """Values (items, z) and gains (feature, gain) of all trees."""
+    """Values (items, z) and gains (feature, gain) of all trees; ``sets`` is a written table."""
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (("items", "array<string>"), ("z", "double"))]
     no_gain = [F.lit(None).cast("string").alias("feature"), F.lit(0.0).alias("gain")]
-    current, small, out = _written(sets, "sets"), [], []
+    current, small, out = sets, [], []
     while True:
         nodes = current.groupBy(*NODE).agg(
             F.count(F.lit(1)).alias("n"), F.sum("w").alias("in_w"), F.sum("s").alias("in_s"), F.min("lo").alias("least"), F.max("hi").alias("most")
@@ -268,14 +293,39 @@ def fit_forest(
     distinct set of features.  Importances of a group sum to 1 unless no tree of it splits;
     features never asked for have 0.
     """
+    return forest_on(draw_sets(rows, trees, bootstrap, seed), trees, hand_over)
+
+
+def draw_sets(rows: DataFrame, trees: int = 100, bootstrap: bool = True, seed: int = 42) -> Drawn:
+    """What ``fit_forest`` learns from ``rows``, drawn once; the draws of a tree do not depend on the number of trees."""
     ship_package(rows.sparkSession)
     trained = F.coalesce(F.col("train") & F.col("y").isNotNull(), F.lit(False))
     rows = rows.select("grp", "items", "key", "y", trained.alias("train"))
-    known = rows.where("train")
-    moments = known.groupBy("grp").agg(F.avg("y").alias("mean"), F.stddev_pop("y").alias("spread"))
+    moments = rows.where("train").groupBy("grp").agg(F.avg("y").alias("mean"), F.stddev_pop("y").alias("spread"))
     moments = _written(moments, "moments")
-    sets = _feature_sets(rows, moments, trees, bootstrap, seed)
-    grown = _grown(sets, hand_over)
+    return Drawn(_written(_feature_sets(rows, moments, trees, bootstrap, seed), "sets"), moments)
+
+
+def without_unimportant(drawn: Drawn, importances: DataFrame) -> tuple[Drawn, DataFrame]:
+    """``drawn`` with the features ``select_important`` keeps, and the sets (grp, whole) with what is left of them (items).
+
+    Sets that become equal are summed, so the rows are not read or drawn again.
+    """
+    every = drawn.sets.where("tree = 0").select("grp", "items", F.col("items").alias("whole"))
+    left = _written(select_important(every, importances).select("grp", "whole", "items"), "left")
+    side = left.withColumnsRenamed({"grp": "_grp", "items": "_items"})
+    side = F.broadcast(side) if small_enough(left) else side
+    sets = drawn.sets.join(side, (F.col("grp") == F.col("_grp")) & (F.col("items") == F.col("whole")))
+    sums = sets.groupBy(*NODE, F.col("_items").alias("items")).agg(
+        F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")
+    )
+    return Drawn(_written(sums, "sets"), drawn.moments), left
+
+
+def forest_on(drawn: Drawn, trees: int, hand_over: int = HAND_OVER) -> Forest:
+    """``fit_forest`` on the first ``trees`` trees that rows were drawn for."""
+    moments = drawn.moments
+    grown = _grown(drawn.sets.where(F.col("tree") < trees).drop("n"), hand_over)
 
     values = grown.where("items is not null").groupBy("grp", "items").agg(F.avg("z").alias("z"))
     yhat = F.col("z") * F.coalesce("spread", F.lit(0.0)) + F.col("mean")
@@ -285,7 +335,7 @@ def fit_forest(
     totals = gains.groupBy("grp", "tree").agg(F.sum("gain").alias("total")).where("total > 0")
     shares = gains.join(totals, ["grp", "tree"]).groupBy("grp", "feature").agg(F.sum(F.col("gain") / F.col("total")).alias("share"))
     split_trees = totals.groupBy("grp").agg(F.count(F.lit(1)).alias("n_trees"))
-    shown = known.select("grp", F.explode("items").alias("feature")).distinct()
+    shown = drawn.sets.where("tree = 0 and n > 0").select("grp", F.explode("items").alias("feature")).distinct()
     shares = join_lookup(shares, split_trees, "grp")
     importances = shown.join(shares, ["grp", "feature"], "left").select(
         "grp", "feature", F.coalesce(F.col("share") / F.col("n_trees"), F.lit(0.0)).alias("importance")
