@@ -41,6 +41,9 @@ def test_folds_are_fitted_as_the_scored_models(spark, small, fresh, fitted_with)
     assert {settings for _, settings in fitted_with} == {models.MARKET}
     choice = modelling.chosen(spark, small)
     assert {m for m, _ in best} == {choice} and len(best) == 3
+    block = {(r["model"], r["metric"]): r["value"] for r in catalog.queries()["R4_best_model_block"](spark, small).collect()}
+    assert {m for m, _ in block} == {choice, "group_mean"} and len(block) == 6
+    assert {k: v for k, v in block.items() if k[0] == choice} == pytest.approx(best)
     assert len(fitted_with) == 2 * n
 
 
