@@ -61,3 +61,9 @@ def test_choice_sees_all_features_of_the_scored_models(spark, fresh, monkeypatch
     monkeypatch.setattr(modelling, "modelled", lambda *_: df)
     monkeypatch.setattr(models, "MARKET", replace(models.MARKET, forest_trees=10, boost_rounds=10))
     assert modelling.chosen(spark, "by_company") == "random_forest"
+    scores = [(m, "test", f"u{i}", 1.0 * i, i + 1.0) for m in ("random_forest", "gradient_boosting", "group_mean") for i in range(4)]
+    scored = spark.createDataFrame(scores, "model string, split string, model_key string, y double, yhat double")
+    monkeypatch.setattr(modelling, "all_scores", lambda *_: scored)
+    shown = lambda name: {r["model"] for r in catalog.queries()[name](spark, "by_company").collect()}
+    assert shown("M9_best_model") == {"random_forest"}
+    assert shown("R4_best_model_block") == {"random_forest", "group_mean"}
